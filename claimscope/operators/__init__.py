@@ -3,6 +3,7 @@
 from claimscope.operators.intervals import covered_days, covered_days_exploded
 from claimscope.operators.joins import salted_lookup, sized_broadcast
 from claimscope.operators.keys import duplicate_keys, null_key_count, orphan_counts
+from claimscope.operators.materialize import materialize
 from claimscope.operators.pick import first_by_priority
 from claimscope.operators.rank import percent_rank_desc
 
@@ -11,6 +12,7 @@ __all__ = [
     "covered_days_exploded",
     "duplicate_keys",
     "first_by_priority",
+    "materialize",
     "null_key_count",
     "orphan_counts",
     "percent_rank_desc",

@@ -4,11 +4,13 @@ A window with ORDER BY and no PARTITION BY sends every row to one task.  Here:
 
 1. ``groupBy(value).count()`` — ties collapse (map-side first), so a value
    shared by a third of all rows is one row from here on.
-2. Size check on the distinct values.  Up to ``single_task_rows`` they are
-   ranked in one window task (bounded).  Above that they are range-partitioned
-   in sort order and tagged with the partition id; the tagged table is
-   checkpointed to the session's checkpoint folder so the tags cannot change
-   if a stage is recomputed after an executor loss.
+2. The distinct table is written to the session's checkpoint folder: the
+   input plan runs once, the size check reads the written table, and so
+   does the rest of the plan.  Up to ``single_task_rows`` distinct values are
+   ranked in one window task (a checked bound).  Above that they are
+   range-partitioned in sort order and tagged with the partition id; the
+   tagged table is written too, so the tags cannot change if a stage is
+   recomputed after an executor loss.
 3. Rows per tag, then a running offset over the tags (one row per tag: tiny,
    broadcast to every task).
 4. Inside each tag, a running count of rows before the value; plus the offset
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimscope.operators.joins import BROADCAST_MAX_ROWS, salted_lookup
+from claimscope.operators.materialize import materialize
 
 SINGLE_TASK_ROWS = 1_000_000
 ROWS_PER_RANGE = 1_000_000
@@ -41,7 +44,7 @@ def percent_rank_desc(
 ) -> DataFrame:
     """``df`` plus ``out`` = percent_rank of ``value`` descending, NULLs first (ties share a rank)."""
     order = F.col(value).desc_nulls_first()
-    distinct = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    distinct = materialize(df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")), "rank-values")
     n_distinct = distinct.count()
 
     if n_distinct <= single_task_rows:
@@ -49,7 +52,7 @@ def percent_rank_desc(
     else:
         ranges = max(2, math.ceil(n_distinct / rows_per_range))
         tagged = distinct.repartitionByRange(ranges, order).withColumn("_tag", F.spark_partition_id())
-        tagged = tagged.checkpoint(eager=True)
+        tagged = materialize(tagged, "rank-tags")
 
     per_tag = tagged.groupBy("_tag").agg(F.sum("_n").alias("_tag_rows"))
     tags_in_order = Window.orderBy("_tag").rowsBetween(Window.unboundedPreceding, -1)

@@ -56,6 +56,17 @@ def _first_dates(events: DataFrame, date_col: str, out: str) -> DataFrame:
     return events.groupBy("member_id").agg(F.min(date_col).alias(out))
 
 
+def member_keys(t: ClaimsTables) -> DataFrame:
+    """Distinct member_id of member_dim.
+
+    Filtering by an *inner* join with distinct keys (not a semi-join) keeps
+    the filter above per-member aggregates: Catalyst pushes semi-joins below
+    an aggregate, which would shuffle raw claim rows instead of partial
+    aggregates.  The distinct's exchange is the one the join needs anyway.
+    """
+    return t.member_dim.select("member_id").distinct()
+
+
 def _with_member(first: DataFrame, t: ClaimsTables) -> DataFrame:
     members = t.member_dim.select("member_id", "sex", "state", "dob")
     return first.join(members, "member_id")
@@ -89,12 +100,10 @@ def rx_cohort_detail(t: ClaimsTables, w: MWindow = P.DEFAULT_WINDOW, cond: Condi
 
 def combined_cohort(t: ClaimsTables, w: MWindow = P.DEFAULT_WINDOW, cond: Condition = P.DIABETES) -> DataFrame:
     """One row per member qualifying by DX or RX; DX wins and keeps its own first date."""
-    known = t.member_dim.select("member_id")
     dx = _first_dates(dx_claims(t, cond, w), "service_from_dt", "index_dt").withColumn("cohort_reason", F.lit(P.COHORT_REASON_DX))
     rx = _first_dates(rx_fills(t, cond, w), "fill_dt", "index_dt").withColumn("cohort_reason", F.lit(P.COHORT_REASON_RX))
-    both = dx.unionByName(rx).join(known, "member_id", "left_semi")
-    picked = first_by_priority(both, "member_id", ["cohort_reason"], ["index_dt"])
-    return picked.select("member_id", "index_dt", "cohort_reason", F.lit(w.measurement_year).alias("measurement_year"))
+    picked = first_by_priority(dx.unionByName(rx), "member_id", ["cohort_reason"], ["index_dt"])
+    return picked.join(member_keys(t), "member_id").select("member_id", "index_dt", "cohort_reason", F.lit(w.measurement_year).alias("measurement_year"))
 
 
 def condition_members(t: ClaimsTables, cond: Condition = P.DIABETES) -> DataFrame:
@@ -102,8 +111,8 @@ def condition_members(t: ClaimsTables, cond: Condition = P.DIABETES) -> DataFram
 
     The diagnosis side requires a member_dim row; the fill side does not.
     """
-    dx = dx_claims(t, cond).select("member_id").join(t.member_dim.select("member_id"), "member_id", "left_semi")
-    rx = rx_fills(t, cond).select("member_id")
+    dx = dx_claims(t, cond).select("member_id").distinct().join(member_keys(t), "member_id")
+    rx = rx_fills(t, cond).select("member_id").distinct()
     return dx.unionByName(rx).distinct()
 
 

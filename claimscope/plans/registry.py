@@ -13,19 +13,14 @@ from pyspark.sql import functions as F
 
 from claimscope.plans import adherence, cohort, constraints, quality, risk, summary, utilization
 from claimscope.sources.tables import ClaimsTables, conform, table_counts
-from claimscope.sources.testdata import VIEW_SQL, WINDOW, raw_claims
+from claimscope.sources.testdata import WINDOW, raw_claims
 
 Job = Callable[[SparkSession, ClaimsTables], DataFrame]
 
 
-def _raw_views(spark: SparkSession) -> dict[str, DataFrame]:
-    # base tables were registered by testdata_tables() for this session
-    return {name: spark.sql(sql) for name, sql in VIEW_SQL.items()}
-
-
 def _ingest_defaults(spark: SparkSession, t: ClaimsTables) -> DataFrame:
     """Dimensions delivered without some flag columns: the declared FALSE default fills them."""
-    raw = _raw_views(spark)
+    raw = t.raw
     dx = conform(raw["diagnosis_dim"].select("icd10", "dx_desc", "is_diabetes_flag"), "diagnosis_dim")
     drugs = conform(raw["drug_dim"].select("ndc", "therapeutic_class"), "drug_dim")
 
@@ -74,7 +69,7 @@ JOBS: dict[str, Job] = {
     "dq_primary_key": lambda spark, t: constraints.primary_key_report(t),
     "dq_foreign_key": lambda spark, t: constraints.foreign_key_report(t),
     "dq_not_null": lambda spark, t: constraints.not_null_report(t),
-    "dq_conformance": lambda spark, t: constraints.conformance_report(_raw_views(spark)),
+    "dq_conformance": lambda spark, t: constraints.conformance_report(t.raw),
     "ingest_defaults": _ingest_defaults,
     "load_tables": lambda spark, t: table_counts(t),
 }

@@ -3,7 +3,7 @@
 Counts are of claim headers by claim_type (not distinct visits).  The member
 aggregate runs once over in-window claims (partial aggregate map-side, so a
 member with a huge claim history is one row per task before the shuffle);
-the condition filter is a semi-join on the aggregated member rows.
+the condition filter is a join on the aggregated member rows.
 """
 
 from __future__ import annotations
@@ -43,7 +43,8 @@ def member_utilization(t: ClaimsTables, w: Window = P.DEFAULT_WINDOW) -> DataFra
 
 def utilization_summary(t: ClaimsTables, w: Window = P.DEFAULT_WINDOW, cond: Condition = P.DIABETES) -> DataFrame:
     """Condition members (any-time flag) with in-window claims: counts, total and average paid."""
-    per_member = _per_member(t, w).join(condition_members(t, cond), "member_id", "left_semi")
+    # inner join with the (distinct) condition members keeps the filter above the aggregate
+    per_member = _per_member(t, w).join(condition_members(t, cond), "member_id")
     avg = F.when(F.col("_paid_claims") > 0, avg_rounded("total_paid_amt", "_paid_claims", 2))
     return per_member.select(
         "member_id",

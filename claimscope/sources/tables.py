@@ -23,11 +23,13 @@ from claimscope.sources.defaults import apply_defaults
 class ClaimsTables(Mapping):
     """The ten claims tables by name, also reachable as attributes."""
 
-    def __init__(self, frames: Mapping[str, DataFrame]):
+    def __init__(self, frames: Mapping[str, DataFrame], raw: Mapping[str, DataFrame] | None = None):
         missing = [n for n in TABLE_NAMES if n not in frames]
         if missing:
             raise KeyError(f"missing tables: {missing}")
         self._frames = {n: frames[n] for n in TABLE_NAMES}
+        # the tables as delivered, before the cast to the declared schema (conformance checks)
+        self.raw = dict(raw) if raw is not None else dict(self._frames)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self._frames[name]
@@ -47,7 +49,7 @@ class ClaimsTables(Mapping):
     def replace(self, **frames: DataFrame) -> "ClaimsTables":
         merged = dict(self._frames)
         merged.update(frames)
-        return ClaimsTables(merged)
+        return ClaimsTables(merged, {**self.raw, **frames})
 
 
 def conform(df: DataFrame, table: Table | str) -> DataFrame:
@@ -74,29 +76,27 @@ def _table_path(base: str, name: str, fmt: str) -> str:
     return f"{base}/{name}"
 
 
-def read_table(spark: SparkSession, path: str, table: Table | str, fmt: str = "parquet") -> DataFrame:
-    """Read one table.  CSV is parsed straight into the declared schema (text → date/decimal)."""
-    table = TABLES[table] if isinstance(table, str) else table
+def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """One table as delivered.  CSV: header row names the columns, values stay text until conform."""
     if fmt == "csv":
-        raw = (
-            spark.read.option("header", True)
-            .option("mode", "FAILFAST")
-            .option("dateFormat", "yyyy-MM-dd")
-            .csv(path)
-        )
-        # Header decides which columns exist; declared types are applied by conform.
-        return conform(raw, table)
-    return conform(spark.read.format(fmt).load(path), table)
+        return spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    return spark.read.format(fmt).load(path)
+
+
+def read_table(spark: SparkSession, path: str, table: Table | str, fmt: str = "parquet") -> DataFrame:
+    """Read one table and cast it to the declared schema (text → date/decimal/boolean for CSV)."""
+    return conform(read_raw(spark, path, fmt), table)
 
 
 def load_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> ClaimsTables:
     """Load all ten tables from ``base`` in format ``fmt`` (parquet, csv, orc, json)."""
-    return ClaimsTables({n: read_table(spark, _table_path(base, n, fmt), n, fmt) for n in TABLE_NAMES})
+    raw = {n: read_raw(spark, _table_path(base, n, fmt), fmt) for n in TABLE_NAMES}
+    return ClaimsTables({n: conform(raw[n], n) for n in TABLE_NAMES}, raw)
 
 
 def from_frames(frames: Mapping[str, DataFrame]) -> ClaimsTables:
     """Conform already-built DataFrames (tests, views) to the declared schema."""
-    return ClaimsTables({n: conform(frames[n], n) for n in TABLE_NAMES})
+    return ClaimsTables({n: conform(frames[n], n) for n in TABLE_NAMES}, frames)
 
 
 def table_counts(tables: ClaimsTables) -> DataFrame:
