@@ -48,25 +48,30 @@ def percent_rank_desc(
     n_distinct = distinct.count()
 
     if n_distinct <= single_task_rows:
-        tagged = distinct.withColumn("_tag", F.lit(0))
+        # bounded: at most single_task_rows distinct values in one window task
+        before = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        ranked = distinct.select(
+            F.col(value),
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+            F.sum("_n").over(Window.partitionBy()).alias("_total"),
+        )
     else:
         ranges = max(2, math.ceil(n_distinct / rows_per_range))
         tagged = distinct.repartitionByRange(ranges, order).withColumn("_tag", F.spark_partition_id())
         tagged = materialize(tagged, "rank-tags")
-
-    per_tag = tagged.groupBy("_tag").agg(F.sum("_n").alias("_tag_rows"))
-    tags_in_order = Window.orderBy("_tag").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_tag.select(
-        "_tag",
-        F.coalesce(F.sum("_tag_rows").over(tags_in_order), F.lit(0)).alias("_offset"),
-        F.sum("_tag_rows").over(Window.partitionBy()).alias("_total"),
-    )
-    before_in_tag = Window.partitionBy("_tag").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = tagged.join(F.broadcast(offsets), "_tag").select(
-        F.col(value),
-        (F.col("_offset") + F.coalesce(F.sum("_n").over(before_in_tag), F.lit(0))).alias("_before"),
-        "_total",
-    )
+        per_tag = tagged.groupBy("_tag").agg(F.sum("_n").alias("_tag_rows"))
+        tags_in_order = Window.orderBy("_tag").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = per_tag.select(  # one row per range: the only single-task step
+            "_tag",
+            F.coalesce(F.sum("_tag_rows").over(tags_in_order), F.lit(0)).alias("_offset"),
+            F.sum("_tag_rows").over(Window.partitionBy()).alias("_total"),
+        )
+        before_in_tag = Window.partitionBy("_tag").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        ranked = tagged.join(F.broadcast(offsets), "_tag").select(
+            F.col(value),
+            (F.col("_offset") + F.coalesce(F.sum("_n").over(before_in_tag), F.lit(0))).alias("_before"),
+            "_total",
+        )
     pct = F.col("_before").cast("double") / F.greatest(F.col("_total") - 1, F.lit(1)).cast("double")
     lookup = ranked.select(F.col(value), pct.alias(out))
 
