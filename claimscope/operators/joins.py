@@ -22,8 +22,11 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    The check counts at most ``max_rows + 1`` rows, so a large side costs no full count.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def salted_lookup(

@@ -2,11 +2,12 @@
 
 A window with ORDER BY and no PARTITION BY sends every row to one task.  Here:
 
-1. ``groupBy(value).count()`` — ties collapse (map-side first), so a value
+1. The input rows (one per member, already aggregated) are written to the
+   session's checkpoint folder, so the plan that produced them runs once.
+   ``groupBy(value).count()`` then collapses ties (map-side first), so a value
    shared by a third of all rows is one row from here on.
-2. The distinct table is written to the session's checkpoint folder: the
-   input plan runs once, the size check reads the written table, and so
-   does the rest of the plan.  Up to ``single_task_rows`` distinct values are
+2. The distinct table is written too: the size check reads it, and so does
+   the rest of the plan.  Up to ``single_task_rows`` distinct values are
    ranked in one window task (a checked bound).  Above that they are
    range-partitioned in sort order and tagged with the partition id; the
    tagged table is written too, so the tags cannot change if a stage is
@@ -44,6 +45,7 @@ def percent_rank_desc(
 ) -> DataFrame:
     """``df`` plus ``out`` = percent_rank of ``value`` descending, NULLs first (ties share a rank)."""
     order = F.col(value).desc_nulls_first()
+    df = materialize(df, "rank-input")
     distinct = materialize(df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")), "rank-values")
     n_distinct = distinct.count()
 

@@ -19,6 +19,14 @@ from claimscope.plans.utilization import member_utilization, utilization_summary
 from claimscope.sources.tables import ClaimsTables
 
 
+def with_cost_tier(totals: DataFrame, value: str = "total_paid_amt", **rank_options) -> DataFrame:
+    """``totals`` (one row per member) plus cost_percentile, percentile (×100, 1 dp) and cost_bucket."""
+    ranked = percent_rank_desc(totals, value, "cost_percentile", **rank_options)
+    return ranked.withColumn("percentile", percentile_1dp("cost_percentile")).withColumn(
+        "cost_bucket", cost_bucket("cost_percentile")
+    )
+
+
 def cost_buckets(
     t: ClaimsTables,
     w: Window = P.DEFAULT_WINDOW,
@@ -33,11 +41,11 @@ def cost_buckets(
         totals = member_utilization(t, w)
     else:
         raise ValueError(f"population must be 'condition' or 'all', not {population!r}")
-    ranked = percent_rank_desc(totals.select("member_id", "total_paid_amt"), "total_paid_amt", "cost_percentile", **rank_options)
+    ranked = with_cost_tier(totals.select("member_id", "total_paid_amt"), **rank_options)
     return ranked.select(
         "member_id",
         F.lit(w.measurement_year).alias("measurement_year"),
         "total_paid_amt",
-        percentile_1dp("cost_percentile").alias("percentile"),
-        cost_bucket("cost_percentile").alias("cost_bucket"),
+        "percentile",
+        "cost_bucket",
     )

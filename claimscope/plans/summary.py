@@ -18,7 +18,7 @@ from claimscope.functions import age_years, risk_flag
 from claimscope.params import Condition, Window
 from claimscope.plans.adherence import pdc
 from claimscope.plans.cohort import combined_cohort
-from claimscope.plans.risk import cost_buckets
+from claimscope.plans.risk import with_cost_tier
 from claimscope.plans.utilization import member_utilization
 from claimscope.sources.tables import ClaimsTables
 
@@ -28,15 +28,16 @@ def master_summary(t: ClaimsTables, w: Window = P.DEFAULT_WINDOW, cond: Conditio
     members = t.member_dim.select("member_id", "sex", "state", "dob")
     spans = t.eligibility_fact.select("member_id", "product_line")
     adherence = pdc(t, w, cond, by_class=False).select("member_id", "covered_days", "eligible_days", "pdc", "adherence_status")
-    usage = member_utilization(t, w).select("member_id", "er_visits", "ip_admits", "office_visits", "total_paid_amt")
-    tiers = cost_buckets(t, w, cond, population="all", **rank_options).select("member_id", "cost_bucket")
+    # one aggregate of in-window claims feeds both the visit counts and the cost tier (ranked over all claimants)
+    usage = with_cost_tier(member_utilization(t, w), **rank_options).select(
+        "member_id", "er_visits", "ip_admits", "office_visits", "total_paid_amt", "cost_bucket"
+    )
 
     joined = (
         cohort.join(members, "member_id")
         .join(spans, "member_id")
         .join(adherence, "member_id", "left")
         .join(usage, "member_id", "left")
-        .join(tiers, "member_id", "left")
     )
     zero = F.lit(0).cast("bigint")
     pdc_or_zero = F.coalesce(F.col("pdc"), F.lit(Decimal("0")))
