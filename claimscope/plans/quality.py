@@ -61,7 +61,12 @@ def service_outside_span(t: ClaimsTables) -> DataFrame:
 
 def nonpositive_paid(t: ClaimsTables) -> DataFrame:
     """Claims with paid_amt <= 0 (NULL amounts are not listed)."""
-    return t.medical_claim_fact.where(F.col("paid_amt") <= 0).select(
+    return nonpositive_paid_rows(t.medical_claim_fact)
+
+
+def nonpositive_paid_rows(claims: DataFrame) -> DataFrame:
+    """Row-local form of :func:`nonpositive_paid` (works on a batch or a streaming DataFrame)."""
+    return claims.where(F.col("paid_amt") <= 0).select(
         F.lit(P.CHECK_NONPOSITIVE_PAID).alias("check_name"),
         "claim_id",
         "member_id",
@@ -80,8 +85,13 @@ def duplicate_claims(claims: DataFrame) -> DataFrame:
 
 def invalid_days_supply(t: ClaimsTables) -> DataFrame:
     """Fills with days_supply <= 0 or NULL."""
+    return invalid_days_supply_rows(t.pharmacy_claim_fact)
+
+
+def invalid_days_supply_rows(fills: DataFrame) -> DataFrame:
+    """Row-local form of :func:`invalid_days_supply` (works on a batch or a streaming DataFrame)."""
     ds = F.col("days_supply")
-    return t.pharmacy_claim_fact.where((ds <= 0) | ds.isNull()).select(
+    return fills.where((ds <= 0) | ds.isNull()).select(
         F.lit(P.CHECK_INVALID_DAYS_SUPPLY).alias("check_name"),
         "rx_claim_id",
         "member_id",
