@@ -50,18 +50,25 @@ def rows_of(cols, records, order):
     return sorted(tuple(_norm(r[i]) for i in idx) for r in records)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "date": "DATE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def compare(spark, con, sf_dir: str, key: str, job, sql: str) -> tuple[bool, str]:
     t0 = time.time()
     sdf = job(spark, sf_dir)
     s_cols = sdf.columns
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
     s_rows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
-    res = con.execute(sql)
-    d_cols = [d[0] for d in res.description]
-    d_rows = res.fetchall()
+    rel = con.sql(sql)
+    d_cols = list(rel.columns)
+    d_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    d_rows = rel.fetchall()
     t2 = time.time()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={s_cols} duck={d_cols}"
+    if s_types != d_types:
+        return False, f"types differ: spark={s_types} duck={d_types}"
     order = sorted(s_cols)
     a, b = rows_of(s_cols, s_rows, order), rows_of(d_cols, d_rows, order)
     if len(a) != len(b):
