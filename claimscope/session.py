@@ -37,14 +37,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a scratch one only if none is configured."""
+    """Return the session's checkpoint folder.
+
+    Taken from the SparkContext or ``spark.checkpoint.dir``.  Only a local
+    master (tests, bench on one machine) may fall back to a scratch folder;
+    on a cluster an unset folder is an error, since a machine-local folder
+    would not survive the loss of that machine.
+    """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not configured:
-        # Only reached when nothing is configured, i.e. a single-machine run (tests, bench).
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (HDFS, S3, ...) for this cluster")
         configured = tempfile.mkdtemp(prefix="claimscope-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
