@@ -13,11 +13,19 @@ left-anti and left-semi joins all allow splitting the left side).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimscope import params as P
 from claimscope.operators import duplicate_keys
+from claimscope.operators.dyadic import (
+    cover_level_bound,
+    day_number,
+    interval_point_pairs,
+    with_ancestors,
+    with_prefix_cover,
+    with_suffix_cover,
+)
 from claimscope.sources.tables import ClaimsTables
 
 
@@ -101,33 +109,140 @@ def invalid_days_supply_rows(fills: DataFrame) -> DataFrame:
     )
 
 
-def _span_pairs(t: ClaimsTables, strict: bool) -> DataFrame:
-    spans = _spans(t)
-    a, b = spans.alias("a"), spans.alias("b")
+_SPAN_COLS = ("eligibility_id", "cov_start_dt", "cov_end_dt")
+
+
+def _side(spans: DataFrame, p: str) -> DataFrame:
+    return spans.select("member_id", *[F.col(c).alias(f"{p}_{c}") for c in _SPAN_COLS])
+
+
+def _as_pair(df: DataFrame, a: str, b: str) -> DataFrame:
+    return df.select(
+        "member_id",
+        *[F.col(f"{a}_{c}").alias(f"a_{c}") for c in _SPAN_COLS],
+        *[F.col(f"{b}_{c}").alias(f"b_{c}") for c in _SPAN_COLS],
+    )
+
+
+def _covering_pairs(spans: DataFrame) -> DataFrame:
+    """Pairs where one span contains the other's start day: exact, via a block join (no all-pairs step).
+
+    With x containing y's start: (a=x, b=y) when x has the lower id; otherwise,
+    when x starts strictly earlier, (a=y, b=x) — y has the lower id and runs
+    from after x's start, so a.end >= b.start holds once y's own end is checked.
+    """
+    level = cover_level_bound(spans, "cov_start_dt", "cov_end_dt")
+    hits = interval_point_pairs(_side(spans, "x"), _side(spans, "y"), "member_id", "x_cov_start_dt", "x_cov_end_dt", "y_cov_start_dt", level)
+    x_id, y_id = F.col("x_eligibility_id"), F.col("y_eligibility_id")
+    lower_x = _as_pair(hits.where(x_id < y_id), "x", "y")
+    lower_y = _as_pair(
+        hits.where((y_id < x_id) & (F.col("x_cov_start_dt") < F.col("y_cov_start_dt")) & (F.col("y_cov_end_dt") >= F.col("x_cov_start_dt"))),
+        "y",
+        "x",
+    )
+    return lower_x.unionByName(lower_y)
+
+
+def _exists_by_day(spans: DataFrame, probe_day: Column, with_probe_cover, table_day: Column, agg, keep) -> DataFrame:
+    """(member_id, eligibility_id) of spans for which the member's spans whose day falls in the probe's
+    range have an aggregated id passing ``keep`` — a dominance test by block join, no pairs."""
+    ids = spans.select("member_id", "eligibility_id", table_day.alias("_d"), probe_day.alias("_p"))
+    table = (
+        with_ancestors(ids.where(F.col("_d").isNotNull()), F.col("_d"))
+        .groupBy("member_id", "_lvl", "_block")
+        .agg(agg("eligibility_id").alias("_id"))
+    )
+    probes = with_probe_cover(ids.where(F.col("_p").isNotNull()), F.col("_p")).select("member_id", "eligibility_id", "_lvl", "_block")
+    found = probes.join(table, ["member_id", "_lvl", "_block"]).groupBy("member_id", "eligibility_id").agg(agg("_id").alias("_id"))
+    return found.where(keep(F.col("_id"), F.col("eligibility_id"))).select("member_id", "eligibility_id")
+
+
+def _inverted_pairs(spans: DataFrame) -> DataFrame:
+    """One-sided pairs where b ends before a starts although b has the higher id.
+
+    Only spans that take part in such a pair are joined: a needs a higher id
+    ending before its start (prefix max of ids over end days), b needs a lower
+    id starting after its end (suffix min over start days).  Ordered data has
+    none, so nothing is paired at all.
+    """
+    start, end = day_number("cov_start_dt"), day_number("cov_end_dt")
+    as_a = _exists_by_day(spans, start - 1, with_prefix_cover, end, F.max, lambda found, own: found > own)
+    as_b = _exists_by_day(spans.where(F.col("cov_start_dt").isNotNull()), end + 1, with_suffix_cover, start, F.min, lambda found, own: found < own)
+    a = _side(spans.join(as_a, ["member_id", "eligibility_id"], "left_semi"), "a")
+    b = _side(spans.join(as_b, ["member_id", "eligibility_id"], "left_semi"), "b")
     cond = (
-        (F.col("a.member_id") == F.col("b.member_id"))
-        & (F.col("a.eligibility_id") < F.col("b.eligibility_id"))
-        & (F.col("a.cov_end_dt") >= F.col("b.cov_start_dt"))
+        (F.col("a_eligibility_id") < F.col("b_eligibility_id"))
+        & (F.col("b_cov_end_dt") < F.col("a_cov_start_dt"))
+        & (F.col("b_cov_start_dt") < F.col("a_cov_start_dt"))
+        & (F.col("a_cov_end_dt") >= F.col("b_cov_start_dt"))
     )
+    return _as_pair(a.join(b, "member_id").where(cond), "a", "b")
+
+
+def _null_bound_pairs(spans: DataFrame) -> DataFrame:
+    """Pairs the one-sided test still flags when a bound is NULL (NOT NULL violations, so few rows):
+    a without a start (only a.end is read), or b without an end starting before a."""
+    a_ids, b_ids = F.col("a_eligibility_id"), F.col("b_eligibility_id")
+    reach = F.col("a_cov_end_dt") >= F.col("b_cov_start_dt")
+    no_start = _side(spans.where(F.col("cov_start_dt").isNull() & F.col("cov_end_dt").isNotNull()), "a").join(
+        _side(spans, "b"), "member_id"
+    ).where((a_ids < b_ids) & reach)
+    no_end = _side(spans.where(F.col("cov_start_dt").isNotNull()), "a").join(
+        _side(spans.where(F.col("cov_end_dt").isNull() & F.col("cov_start_dt").isNotNull()), "b"), "member_id"
+    ).where((a_ids < b_ids) & reach & (F.col("a_cov_start_dt") > F.col("b_cov_start_dt")))
+    return _as_pair(no_start, "a", "b").unionByName(_as_pair(no_end, "a", "b"))
+
+
+# Above this many spans for one member, pairing a member's spans one by one is
+# replaced by the block join (the same pairs, found without comparing all of them).
+PAIRWISE_MAX_SPANS = 128
+
+
+def _pairwise(spans: DataFrame, strict: bool) -> DataFrame:
+    """The test as written: self-join on member_id with the id / date comparison as residual.
+
+    Used only when every member has at most PAIRWISE_MAX_SPANS spans, so each
+    member's comparisons are bounded (a checked bound, see ``_span_pairs``).
+    """
+    cond = (F.col("a_eligibility_id") < F.col("b_eligibility_id")) & (F.col("a_cov_end_dt") >= F.col("b_cov_start_dt"))
+    if strict:
+        cond = cond & (F.col("b_cov_end_dt") >= F.col("a_cov_start_dt"))
+    return _as_pair(_side(spans, "a").join(_side(spans, "b"), "member_id").where(cond), "a", "b")
+
+
+def _span_pairs(t: ClaimsTables, strict: bool, pairwise_max: int = PAIRWISE_MAX_SPANS) -> DataFrame:
+    """Span pairs of one member with a.id < b.id and a.end >= b.start (and b.end >= a.start if strict).
+
+    When the widest member (measured by one aggregate) has at most
+    ``pairwise_max`` spans, a member's spans are compared pairwise.  Otherwise
+    every qualifying pair is found without comparing all of them: it either
+    has one span containing the other's start day (exact block join) or — in
+    the one-sided test only — has b lying wholly before a, or a NULL bound.
+    """
+    spans = _spans(t)
+    widest = spans.groupBy("member_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+    if widest <= pairwise_max:
+        return _pairwise(spans, strict)
+    covering = _covering_pairs(spans)
     if strict:
-        cond = cond & (F.col("b.cov_end_dt") >= F.col("a.cov_start_dt"))
-    return a.join(b, cond, "inner")
+        return covering.where(F.col("b_cov_end_dt") >= F.col("a_cov_start_dt"))
+    return covering.unionByName(_inverted_pairs(spans)).unionByName(_null_bound_pairs(spans))
 
 
-def overlapping_spans(t: ClaimsTables, strict: bool = False) -> DataFrame:
+def overlapping_spans(t: ClaimsTables, strict: bool = False, pairwise_max: int = PAIRWISE_MAX_SPANS) -> DataFrame:
     """Span pairs (lower id a, higher id b) of one member with a.end >= b.start.
 
     The original test is one-sided: it also flags a higher-id span lying
     wholly before the lower-id one.  ``strict=True`` also requires
     b.end >= a.start, i.e. a true overlap.
     """
-    return _span_pairs(t, strict).select(
+    return _span_pairs(t, strict, pairwise_max).select(
         F.lit(P.CHECK_OVERLAPPING_ELIGIBILITY).alias("check_name"),
-        F.col("a.member_id").alias("member_id"),
-        F.col("a.cov_start_dt").alias("span1_start"),
-        F.col("a.cov_end_dt").alias("span1_end"),
-        F.col("b.cov_start_dt").alias("span2_start"),
-        F.col("b.cov_end_dt").alias("span2_end"),
+        "member_id",
+        F.col("a_cov_start_dt").alias("span1_start"),
+        F.col("a_cov_end_dt").alias("span1_end"),
+        F.col("b_cov_start_dt").alias("span2_start"),
+        F.col("b_cov_end_dt").alias("span2_end"),
     )
 
 

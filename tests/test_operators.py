@@ -134,3 +134,59 @@ def test_salted_lookup_spreads_hot_key(spark):
     out = salted_lookup(facts, lookup, "v", salt_from=["member_id"], salts=4)
     assert out.count() == 60
     assert {(r["v"], r["label"]) for r in out.collect()} == {(None, "null"), (1, "one")}
+
+
+def _random_elig(seed: int, members: int = 6, per_member: int = 25):
+    rnd = random.Random(seed)
+    base = dt.date(2020, 1, 1)
+    rows, eid = [], 0
+    for m in range(members):
+        ids = list(range(eid, eid + per_member))
+        rnd.shuffle(ids)  # ids not in date order: inversions
+        eid += per_member
+        for i in ids:
+            s = base + dt.timedelta(days=rnd.randint(0, 1500))
+            kind = rnd.random()
+            if kind < 0.05:
+                s_, e_ = None, s + dt.timedelta(days=30)
+            elif kind < 0.1:
+                s_, e_ = s, None
+            elif kind < 0.15:
+                s_, e_ = s, s - dt.timedelta(days=rnd.randint(1, 40))  # inverted span
+            elif kind < 0.2:
+                s_, e_ = s, dt.date(9999, 12, 31)  # open-ended
+            else:
+                s_, e_ = s, s + dt.timedelta(days=rnd.choice([0, 1, 30, 90, 364, 700]))
+            rows.append({"eligibility_id": i, "member_id": m, "cov_start_dt": s_, "cov_end_dt": e_})
+    return rows
+
+
+def _brute_pairs(rows, strict):
+    out = []
+    for a in rows:
+        for b in rows:
+            if a["member_id"] != b["member_id"] or not a["eligibility_id"] < b["eligibility_id"]:
+                continue
+            if a["cov_end_dt"] is None or b["cov_start_dt"] is None or not a["cov_end_dt"] >= b["cov_start_dt"]:
+                continue
+            if strict and (b["cov_end_dt"] is None or a["cov_start_dt"] is None or not b["cov_end_dt"] >= a["cov_start_dt"]):
+                continue
+            out.append((a["member_id"], a["cov_start_dt"], a["cov_end_dt"], b["cov_start_dt"], b["cov_end_dt"]))
+    return sorted(out, key=repr)
+
+
+def test_span_pairs_equal_brute_force(spark):
+    """Both paths (pairwise for narrow members, block join for wide ones) give the brute-force pairs."""
+    from builders import tables
+
+    from claimscope.plans import quality
+
+    for seed in (11, 12):
+        data = _random_elig(seed)
+        t = tables(spark, eligibility_fact=data)
+        for strict in (False, True):
+            for pairwise_max in (0, 10_000):  # block join / pairwise path
+                got = quality.overlapping_spans(t, strict=strict, pairwise_max=pairwise_max).select(
+                    "member_id", "span1_start", "span1_end", "span2_start", "span2_end"
+                )
+                assert sorted((tuple(r) for r in got.collect()), key=repr) == _brute_pairs(data, strict)

@@ -61,3 +61,25 @@ def test_cost_rank_sorts_only_distinct_values(spark, smoke_tables):
     # ... the one single-task window reads the written table of distinct totals (a checked size)
     assert "ReadSchema: struct<total_paid_amt:decimal(22,2),_n:bigint>" in value_side
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_wide_member_spans_use_the_block_join(spark):
+    """A member with more spans than the pairwise bound is never paired span by span."""
+    import datetime as dt
+
+    from builders import tables
+
+    from claimscope.plans import quality
+
+    base = dt.date(2015, 1, 1)
+    spans = [
+        {"eligibility_id": i, "member_id": 1, "cov_start_dt": base + dt.timedelta(days=10 * i), "cov_end_dt": base + dt.timedelta(days=10 * i + 14)}
+        for i in range(quality.PAIRWISE_MAX_SPANS + 20)
+    ]
+    t = tables(spark, eligibility_fact=spans)
+    df = quality.overlapping_spans(t)
+    plan = _plan(df)
+    joins = [line for line in plan.splitlines() if "Join" in line and "member_id" in line]
+    assert joins and all("_lvl" in j or "eligibility_id" in j for j in joins)
+    # consecutive spans overlap by 5 days: exactly n - 1 pairs
+    assert df.count() == quality.PAIRWISE_MAX_SPANS + 19
