@@ -39,13 +39,36 @@ def _spans(t: ClaimsTables) -> DataFrame:
     return t.eligibility_fact.select("eligibility_id", "member_id", "cov_start_dt", "cov_end_dt")
 
 
-def missing_eligibility(t: ClaimsTables) -> DataFrame:
-    """Claims whose service date lies in no coverage span of their member."""
+def _widest_member(spans: DataFrame) -> int:
+    """Most spans any one member has (one aggregate, partial per task)."""
+    return spans.groupBy("member_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+
+
+def missing_eligibility(t: ClaimsTables, pairwise_max: int | None = None) -> DataFrame:
+    """Claims whose service date lies in no coverage span of their member.
+
+    Narrow members (at most ``pairwise_max`` spans, measured): an anti-join
+    on member_id with the BETWEEN as residual.  Otherwise the distinct
+    (member, service date) points — at most one per member and day — are
+    matched to span covers by the exact block join, and claims are anti-joined
+    on the covered (member, date) pairs; no claim is compared with all spans.
+    """
     claims = t.medical_claim_fact.select("member_id", "service_from_dt", "claim_type").alias("cl")
-    elig = _spans(t).alias("e")
-    return claims.join(elig, _covered_by_span(claims, elig), "left_anti").select(
-        F.lit(P.CHECK_MISSING_ELIGIBILITY).alias("check_name"), "member_id", "service_from_dt", "claim_type"
-    )
+    spans = _spans(t)
+    limit = PAIRWISE_MAX_SPANS if pairwise_max is None else pairwise_max
+    if _widest_member(spans) <= limit:
+        elig = spans.alias("e")
+        missing = claims.join(elig, _covered_by_span(claims, elig), "left_anti")
+    else:
+        days = t.medical_claim_fact.select("member_id", "service_from_dt").where(
+            F.col("member_id").isNotNull() & F.col("service_from_dt").isNotNull()
+        ).distinct()
+        level = cover_level_bound(spans, "cov_start_dt", "cov_end_dt")
+        covered = interval_point_pairs(
+            spans.select("member_id", "cov_start_dt", "cov_end_dt"), days, "member_id", "cov_start_dt", "cov_end_dt", "service_from_dt", level
+        ).select("member_id", "service_from_dt").distinct()
+        missing = claims.join(covered, ["member_id", "service_from_dt"], "left_anti")
+    return missing.select(F.lit(P.CHECK_MISSING_ELIGIBILITY).alias("check_name"), "member_id", "service_from_dt", "claim_type")
 
 
 def service_outside_span(t: ClaimsTables) -> DataFrame:
@@ -220,8 +243,7 @@ def _span_pairs(t: ClaimsTables, strict: bool, pairwise_max: int = PAIRWISE_MAX_
     the one-sided test only — has b lying wholly before a, or a NULL bound.
     """
     spans = _spans(t)
-    widest = spans.groupBy("member_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
-    if widest <= pairwise_max:
+    if _widest_member(spans) <= pairwise_max:
         return _pairwise(spans, strict)
     covering = _covering_pairs(spans)
     if strict:

@@ -208,3 +208,35 @@ def test_inverted_span_fails_like_sql(spark):  # N9: eligible_days = 0 is a divi
     t = tables(spark, **basic_dims(), eligibility_fact=[span], pharmacy_claim_fact=[_fill(1, 1, "00000000001", "2023-03-01", 10)])
     with pytest.raises(Exception):
         adherence.pdc(t, W).collect()
+
+
+def test_missing_eligibility_paths_agree(spark):
+    """Anti-join with BETWEEN (narrow members) and block join on distinct service days give the same claims."""
+    import random
+
+    rnd = random.Random(3)
+    spans, claims = [], []
+    for m in range(4):
+        for i in range(30):
+            s = d("2022-01-01") + dt.timedelta(days=rnd.randint(0, 700))
+            e = s + dt.timedelta(days=rnd.choice([-2, 0, 10, 60, 200]))
+            spans.append({"eligibility_id": m * 100 + i, "member_id": m, "cov_start_dt": s, "cov_end_dt": e})
+        for c in range(60):
+            day = d("2021-12-01") + dt.timedelta(days=rnd.randint(0, 800))
+            claims.append({"claim_id": m * 1000 + c, "member_id": m, "claim_type": "PROF", "service_from_dt": day})
+    claims.append({"claim_id": 9999, "member_id": None, "claim_type": "ER", "service_from_dt": d("2022-05-01")})
+    claims.append({"claim_id": 9998, "member_id": 1, "claim_type": "ER", "service_from_dt": None})
+    t = tables(spark, eligibility_fact=spans, medical_claim_fact=claims)
+    pairwise = [tuple(r) for r in quality.missing_eligibility(t, pairwise_max=10_000).collect()]
+    blocks = [tuple(r) for r in quality.missing_eligibility(t, pairwise_max=0).collect()]
+    key = lambda r: repr(r)
+    assert sorted(pairwise, key=key) == sorted(blocks, key=key)
+    brute = []
+    for c in claims:
+        ok = any(
+            sp["member_id"] == c["member_id"] and c["service_from_dt"] is not None and sp["cov_start_dt"] <= c["service_from_dt"] <= sp["cov_end_dt"]
+            for sp in spans
+        )
+        if not ok:
+            brute.append(("Missing Eligibility", c["member_id"], c["service_from_dt"], c["claim_type"]))
+    assert sorted(pairwise, key=key) == sorted(brute, key=key)
