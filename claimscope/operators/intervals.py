@@ -15,7 +15,8 @@ expands intervals into days.
 4. Sum per group.  The window and the sum share one hash partitioning.
 
 ``covered_days_exploded`` is the literal form (one row per covered day,
-distinct, count); it is kept as a cross-check in tests.
+distinct, count) after the same per-start collapse; it is kept as a
+cross-check.
 """
 
 from __future__ import annotations
@@ -58,5 +59,7 @@ def covered_days_exploded(
     out: str = "covered_days",
 ) -> DataFrame:
     keys = list(keys)
-    days = _valid(spans, start, end).select(*keys, F.explode(F.sequence(F.col(start), F.col(end))).alias("_day"))
+    # only the longest span from each start day matters: collapse before expanding into days
+    longest = _valid(spans, start, end).groupBy(*keys, start).agg(F.max(end).alias(end))
+    days = longest.select(*keys, F.explode(F.sequence(F.col(start), F.col(end))).alias("_day"))
     return days.distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
