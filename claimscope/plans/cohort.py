@@ -30,11 +30,19 @@ def flagged_ndcs(t: ClaimsTables, cond: Condition = P.DIABETES, with_class: bool
 
 
 def dx_claim_ids(t: ClaimsTables, cond: Condition = P.DIABETES) -> DataFrame:
-    """Distinct claim_id with at least one line carrying a flagged diagnosis (any date)."""
-    lines = t.medical_claim_line_dx_bridge.join(flagged_dx_codes(t, cond), "icd10", "left_semi").select("claim_line_id")
-    # distinct on the join key: partial aggregate map-side, and the exchange it
-    # creates is the one the next join needs.
-    return t.medical_claim_line_fact.join(lines.distinct(), "claim_line_id", "left_semi").select("claim_id").distinct()
+    """Distinct claim_id with at least one line carrying a flagged diagnosis (any date).
+
+    The undated bridge and line tables are the largest inputs; this key set is
+    built once per table set and shared by every job that needs it.
+    """
+
+    def build() -> DataFrame:
+        lines = t.medical_claim_line_dx_bridge.join(flagged_dx_codes(t, cond), "icd10", "left_semi").select("claim_line_id")
+        # distinct on the join key: partial aggregate map-side, and the exchange it
+        # creates is the one the next join needs.
+        return t.medical_claim_line_fact.join(lines.distinct(), "claim_line_id", "left_semi").select("claim_id").distinct()
+
+    return t.shared(("dx-claim-ids", cond.dx_flag), build)
 
 
 def dx_claims(t: ClaimsTables, cond: Condition = P.DIABETES, w: MWindow | None = None) -> DataFrame:
@@ -110,10 +118,15 @@ def condition_members(t: ClaimsTables, cond: Condition = P.DIABETES) -> DataFram
     """Members with a flagged diagnosis or fill at any time (no date filter).
 
     The diagnosis side requires a member_dim row; the fill side does not.
+    Built once per table set and shared.
     """
-    dx = dx_claims(t, cond).select("member_id").distinct().join(member_keys(t), "member_id")
-    rx = rx_fills(t, cond).select("member_id").distinct()
-    return dx.unionByName(rx).distinct()
+
+    def build() -> DataFrame:
+        dx = dx_claims(t, cond).select("member_id").distinct().join(member_keys(t), "member_id")
+        rx = rx_fills(t, cond).select("member_id").distinct()
+        return dx.unionByName(rx).distinct()
+
+    return t.shared(("condition-members", cond.dx_flag, cond.rx_flag), build)
 
 
 def window_first_event(t: ClaimsTables, w: MWindow = P.DEFAULT_WINDOW, cond: Condition = P.DIABETES) -> DataFrame:

@@ -11,7 +11,7 @@ default (see :mod:`claimscope.sources.defaults`) or NULL.
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +30,20 @@ class ClaimsTables(Mapping):
         self._frames = {n: frames[n] for n in TABLE_NAMES}
         # the tables as delivered, before the cast to the declared schema (conformance checks)
         self.raw = dict(raw) if raw is not None else dict(self._frames)
+        self._shared: dict[tuple, DataFrame] = {}
+
+    def shared(self, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+        """An intermediate derived from these tables, computed once and reused by later jobs.
+
+        The first use writes it to the session's checkpoint folder (a plain
+        Parquet table, so its lineage is cut and it survives executor loss);
+        later jobs on the same tables read it instead of recomputing it.
+        """
+        if key not in self._shared:
+            from claimscope.operators.materialize import materialize
+
+            self._shared[key] = materialize(build(), "-".join(str(k) for k in key))
+        return self._shared[key]
 
     def __getitem__(self, name: str) -> DataFrame:
         return self._frames[name]
