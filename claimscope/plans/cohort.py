@@ -50,7 +50,9 @@ def dx_claims(t: ClaimsTables, cond: Condition = P.DIABETES, w: MWindow | None =
     claims = t.medical_claim_fact
     if w is not None:
         claims = claims.where(in_window("service_from_dt", w))
-    return claims.select("claim_id", "member_id", "service_from_dt").join(dx_claim_ids(t, cond), "claim_id", "left_semi")
+    # the key set is a written table, so its size check is cheap; small sets are broadcast
+    ids = sized_broadcast(dx_claim_ids(t, cond))
+    return claims.select("claim_id", "member_id", "service_from_dt").join(ids, "claim_id", "left_semi")
 
 
 def rx_fills(t: ClaimsTables, cond: Condition = P.DIABETES, w: MWindow | None = None) -> DataFrame:
