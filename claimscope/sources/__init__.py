@@ -1,6 +1,7 @@
 """Readers of the claims tables, ingest defaults, writers, and the test-table views."""
 
 from claimscope.sources.defaults import apply_defaults
+from claimscope.sources.layout import load_catalog_tables, save_bucketed
 from claimscope.sources.sinks import write_csv, write_parquet
 from claimscope.sources.tables import ClaimsTables, conform, from_frames, load_tables, read_table, table_counts
 
@@ -9,8 +10,10 @@ __all__ = [
     "apply_defaults",
     "conform",
     "from_frames",
+    "load_catalog_tables",
     "load_tables",
     "read_table",
+    "save_bucketed",
     "table_counts",
     "write_csv",
     "write_parquet",
