@@ -1,7 +1,7 @@
 """Reusable DataFrame operators the jobs are built from."""
 
 from claimscope.operators.intervals import covered_days, covered_days_exploded
-from claimscope.operators.joins import salted_lookup, sized_broadcast
+from claimscope.operators.joins import fits_broadcast, salted_lookup, sized_broadcast
 from claimscope.operators.keys import duplicate_keys, null_key_count, orphan_counts
 from claimscope.operators.materialize import materialize
 from claimscope.operators.pick import first_by_priority
@@ -12,6 +12,7 @@ __all__ = [
     "covered_days_exploded",
     "duplicate_keys",
     "first_by_priority",
+    "fits_broadcast",
     "materialize",
     "null_key_count",
     "orphan_counts",

@@ -21,12 +21,19 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows; counts at most ``max_rows + 1`` of them."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, small: bool | None = None) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
 
-    The check counts at most ``max_rows + 1`` rows, so a large side costs no full count.
+    ``small`` passes a size decision already measured for the same data.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    if small is None:
+        small = fits_broadcast(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def salted_lookup(

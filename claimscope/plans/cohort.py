@@ -15,18 +15,25 @@ from pyspark.sql import functions as F
 
 from claimscope import params as P
 from claimscope.functions import age_years, in_window
-from claimscope.operators import first_by_priority, sized_broadcast
+from claimscope.operators import first_by_priority, fits_broadcast, sized_broadcast
 from claimscope.params import Condition, Window as MWindow
 from claimscope.sources.tables import ClaimsTables
 
 
+def checked_broadcast(t: ClaimsTables, key: tuple, df: DataFrame) -> DataFrame:
+    """Broadcast ``df`` if its row count (measured once per table set) is under the limit."""
+    return sized_broadcast(df, small=t.memo(("fits-broadcast", *key), lambda: fits_broadcast(df)))
+
+
 def flagged_dx_codes(t: ClaimsTables, cond: Condition = P.DIABETES) -> DataFrame:
-    return sized_broadcast(t.diagnosis_dim.where(F.col(cond.dx_flag)).select("icd10"))
+    codes = t.diagnosis_dim.where(F.col(cond.dx_flag)).select("icd10")
+    return checked_broadcast(t, ("dx-codes", cond.dx_flag), codes)
 
 
 def flagged_ndcs(t: ClaimsTables, cond: Condition = P.DIABETES, with_class: bool = False) -> DataFrame:
     cols = ["ndc", "therapeutic_class"] if with_class else ["ndc"]
-    return sized_broadcast(t.drug_dim.where(F.col(cond.rx_flag)).select(*cols))
+    drugs = t.drug_dim.where(F.col(cond.rx_flag)).select(*cols)
+    return checked_broadcast(t, ("ndcs", cond.rx_flag, with_class), drugs)
 
 
 def dx_claim_ids(t: ClaimsTables, cond: Condition = P.DIABETES) -> DataFrame:
@@ -51,7 +58,7 @@ def dx_claims(t: ClaimsTables, cond: Condition = P.DIABETES, w: MWindow | None =
     if w is not None:
         claims = claims.where(in_window("service_from_dt", w))
     # the key set is a written table, so its size check is cheap; small sets are broadcast
-    ids = sized_broadcast(dx_claim_ids(t, cond))
+    ids = checked_broadcast(t, ("dx-claim-ids", cond.dx_flag), dx_claim_ids(t, cond))
     return claims.select("claim_id", "member_id", "service_from_dt").join(ids, "claim_id", "left_semi")
 
 

@@ -39,9 +39,18 @@ def _spans(t: ClaimsTables) -> DataFrame:
     return t.eligibility_fact.select("eligibility_id", "member_id", "cov_start_dt", "cov_end_dt")
 
 
-def _widest_member(spans: DataFrame) -> int:
-    """Most spans any one member has (one aggregate, partial per task)."""
-    return spans.groupBy("member_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+def _widest_member(t: ClaimsTables) -> int:
+    """Most spans any one member has (one aggregate, partial per task; measured once per table set)."""
+
+    def measure() -> int:
+        per_member = t.eligibility_fact.groupBy("member_id").agg(F.count(F.lit(1)).alias("n"))
+        return per_member.agg(F.max("n").alias("n")).first()["n"] or 0
+
+    return t.memo(("widest-member",), measure)
+
+
+def _level_bound(t: ClaimsTables) -> int:
+    return t.memo(("span-level-bound",), lambda: cover_level_bound(t.eligibility_fact, "cov_start_dt", "cov_end_dt"))
 
 
 def missing_eligibility(t: ClaimsTables, pairwise_max: int | None = None) -> DataFrame:
@@ -56,14 +65,14 @@ def missing_eligibility(t: ClaimsTables, pairwise_max: int | None = None) -> Dat
     claims = t.medical_claim_fact.select("member_id", "service_from_dt", "claim_type").alias("cl")
     spans = _spans(t)
     limit = PAIRWISE_MAX_SPANS if pairwise_max is None else pairwise_max
-    if _widest_member(spans) <= limit:
+    if _widest_member(t) <= limit:
         elig = spans.alias("e")
         missing = claims.join(elig, _covered_by_span(claims, elig), "left_anti")
     else:
         days = t.medical_claim_fact.select("member_id", "service_from_dt").where(
             F.col("member_id").isNotNull() & F.col("service_from_dt").isNotNull()
         ).distinct()
-        level = cover_level_bound(spans, "cov_start_dt", "cov_end_dt")
+        level = _level_bound(t)
         covered = interval_point_pairs(
             spans.select("member_id", "cov_start_dt", "cov_end_dt"), days, "member_id", "cov_start_dt", "cov_end_dt", "service_from_dt", level
         ).select("member_id", "service_from_dt").distinct()
@@ -147,14 +156,13 @@ def _as_pair(df: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
-def _covering_pairs(spans: DataFrame) -> DataFrame:
+def _covering_pairs(spans: DataFrame, level: int) -> DataFrame:
     """Pairs where one span contains the other's start day: exact, via a block join (no all-pairs step).
 
     With x containing y's start: (a=x, b=y) when x has the lower id; otherwise,
     when x starts strictly earlier, (a=y, b=x) — y has the lower id and runs
     from after x's start, so a.end >= b.start holds once y's own end is checked.
     """
-    level = cover_level_bound(spans, "cov_start_dt", "cov_end_dt")
     hits = interval_point_pairs(_side(spans, "x"), _side(spans, "y"), "member_id", "x_cov_start_dt", "x_cov_end_dt", "y_cov_start_dt", level)
     x_id, y_id = F.col("x_eligibility_id"), F.col("y_eligibility_id")
     lower_x = _as_pair(hits.where(x_id < y_id), "x", "y")
@@ -243,9 +251,9 @@ def _span_pairs(t: ClaimsTables, strict: bool, pairwise_max: int = PAIRWISE_MAX_
     the one-sided test only — has b lying wholly before a, or a NULL bound.
     """
     spans = _spans(t)
-    if _widest_member(spans) <= pairwise_max:
+    if _widest_member(t) <= pairwise_max:
         return _pairwise(spans, strict)
-    covering = _covering_pairs(spans)
+    covering = _covering_pairs(spans, _level_bound(t))
     if strict:
         return covering.where(F.col("b_cov_end_dt") >= F.col("a_cov_start_dt"))
     return covering.unionByName(_inverted_pairs(spans)).unionByName(_null_bound_pairs(spans))

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from claimscope import params as P
 from claimscope.functions import avg_rounded, in_window
 from claimscope.params import Condition, Window
-from claimscope.operators import sized_broadcast
-from claimscope.plans.cohort import condition_members
+from claimscope.plans.cohort import checked_broadcast, condition_members
 from claimscope.sources.tables import ClaimsTables
 
 
@@ -45,7 +44,8 @@ def member_utilization(t: ClaimsTables, w: Window = P.DEFAULT_WINDOW) -> DataFra
 def utilization_summary(t: ClaimsTables, w: Window = P.DEFAULT_WINDOW, cond: Condition = P.DIABETES) -> DataFrame:
     """Condition members (any-time flag) with in-window claims: counts, total and average paid."""
     # inner join with the (distinct) condition members keeps the filter above the aggregate
-    per_member = _per_member(t, w).join(sized_broadcast(condition_members(t, cond)), "member_id")
+    members = condition_members(t, cond)
+    per_member = _per_member(t, w).join(checked_broadcast(t, ("condition-members", cond.dx_flag, cond.rx_flag), members), "member_id")
     avg = F.when(F.col("_paid_claims") > 0, avg_rounded("total_paid_amt", "_paid_claims", 2))
     return per_member.select(
         "member_id",

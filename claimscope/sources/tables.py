@@ -31,6 +31,13 @@ class ClaimsTables(Mapping):
         # the tables as delivered, before the cast to the declared schema (conformance checks)
         self.raw = dict(raw) if raw is not None else dict(self._frames)
         self._shared: dict[tuple, DataFrame] = {}
+        self._memo: dict[tuple, object] = {}
+
+    def memo(self, key: tuple, measure: Callable[[], object]) -> object:
+        """A measured fact about these tables (a size, a bound), computed once per table set."""
+        if key not in self._memo:
+            self._memo[key] = measure()
+        return self._memo[key]
 
     def shared(self, key: tuple, build: Callable[[], DataFrame]) -> DataFrame:
         """An intermediate derived from these tables, computed once and reused by later jobs.
