@@ -4,11 +4,13 @@ Detail reports list offending rows; the dashboard counts six of them (it
 leaves out the per-span report, and its labels differ from the detail
 reports' on purpose).  All checks read whole tables.
 
-Joins are keyed on member_id / claim_id / claim_line_id; the eligibility
-range (BETWEEN) is a residual condition on the equi-join.  A member with a
-huge share of claims makes one skewed join partition; AQE's skew-join
-handling splits the claim side of that partition into several tasks (inner,
-left-anti and left-semi joins all allow splitting the left side).
+Claims and spans meet on member_id.  While every member has few spans (a
+bound measured once per table set), the span range is a residual condition
+on that equi-join.  Beyond it, the checks switch to an exact block join on
+(member, level, block) (``operators.dyadic``), so no claim or span is
+compared with all spans of a wide member.  The per-span report is an
+equi-join whose output is (claim, span) pairs by definition; AQE's skew-join
+handling splits a hot member's claim side across tasks.
 """
 
 from __future__ import annotations
@@ -28,6 +30,11 @@ from claimscope.operators.dyadic import (
 )
 from claimscope.sources.tables import ClaimsTables
 
+# Above this many spans for one member, comparing a member's spans (or a claim
+# with all of them) one by one is replaced by the block join: the same rows,
+# found without the comparisons.
+PAIRWISE_MAX_SPANS = 128
+
 
 def _covered_by_span(claims: DataFrame, elig: DataFrame):
     return (claims["member_id"] == elig["member_id"]) & claims["service_from_dt"].between(
@@ -224,11 +231,6 @@ def _null_bound_pairs(spans: DataFrame) -> DataFrame:
     return _as_pair(no_start, "a", "b").unionByName(_as_pair(no_end, "a", "b"))
 
 
-# Above this many spans for one member, pairing a member's spans one by one is
-# replaced by the block join (the same pairs, found without comparing all of them).
-PAIRWISE_MAX_SPANS = 128
-
-
 def _pairwise(spans: DataFrame, strict: bool) -> DataFrame:
     """The test as written: self-join on member_id with the id / date comparison as residual.
 
