@@ -72,3 +72,14 @@ def test_presentation_cast(spark):
     df = spark.createDataFrame([(1, Decimal("1.50"))], "a int, b decimal(12,2)")
     out = decimals_to_double(df)
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["bigint", "double"]
+
+
+def test_orc_and_json_sources(spark, study):
+    for fmt in ("orc", "json"):
+        out = _scratch()
+        for name in study:
+            study[name].write.mode("overwrite").format(fmt).save(os.path.join(out, name))
+        again = load_tables(spark, out, fmt=fmt)
+        assert rows(table_counts(again)) == rows(table_counts(study))
+        r = again.pharmacy_claim_fact.where("rx_claim_id = 30001").first()
+        assert r["ndc"] == "00003091560" and r["paid_amt"] == Decimal("12.00") and r["fill_dt"].isoformat() == "2023-01-05"
