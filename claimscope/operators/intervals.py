@@ -61,5 +61,7 @@ def covered_days_exploded(
     keys = list(keys)
     # only the longest span from each start day matters: collapse before expanding into days
     longest = _valid(spans, start, end).groupBy(*keys, start).agg(F.max(end).alias(end))
-    days = longest.select(*keys, F.explode(F.sequence(F.col(start), F.col(end))).alias("_day"))
+    # hash the collapsed spans (at most one per start day per group) by the group keys, so the
+    # day rows are generated, de-duplicated and counted in the same task: they are never shuffled
+    days = longest.repartition(*keys).select(*keys, F.explode(F.sequence(F.col(start), F.col(end))).alias("_day"))
     return days.distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
