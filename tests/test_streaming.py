@@ -42,3 +42,21 @@ def test_csv_stream_of_claims(spark):
     q = start_row_checks(spark, "medical_claim_fact", src, out, fmt="csv", checkpoint=ckpt)
     q.awaitTermination(120)
     assert spark.read.parquet(out).count() == 0  # the study has no paid amount <= 0
+
+
+def test_csv_stream_flags_new_bad_claims(spark):
+    out = tempfile.mkdtemp(prefix="claimscope-stream-out-")
+    ckpt = tempfile.mkdtemp(prefix="claimscope-stream-ckpt-")
+    src = tempfile.mkdtemp(prefix="claimscope-stream-src-")
+    with open(os.path.join(STUDY_DIR, "medical_claim_fact.csv"), encoding="utf-8") as f:
+        header, first = f.readline(), f.readline()
+    cols = header.strip().split(",")
+    bad = first.strip().split(",")
+    bad[cols.index("claim_id")] = "99001"
+    bad[cols.index("paid_amt")] = "-5.00"
+    with open(os.path.join(src, "late.csv"), "w", encoding="utf-8") as f:
+        f.write(header + first + ",".join(bad) + "\n")
+    q = start_row_checks(spark, "medical_claim_fact", src, out, fmt="csv", checkpoint=ckpt)
+    q.awaitTermination(120)
+    got = spark.read.parquet(out).collect()
+    assert [(r["claim_id"], str(r["paid_amt"])) for r in got] == [(99001, "-5.00")]
