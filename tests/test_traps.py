@@ -240,3 +240,27 @@ def test_missing_eligibility_paths_agree(spark):
         if not ok:
             brute.append(("Missing Eligibility", c["member_id"], c["service_from_dt"], c["claim_type"]))
     assert sorted(pairwise, key=key) == sorted(brute, key=key)
+
+
+def test_rx_only_member_without_claims(spark):
+    """RX-only cohort member with no in-window medical claims: 'RX' reason, 'No Claims' tier, zero counts."""
+    members = [{"member_id": m, "dob": d("1960-01-01"), "sex": "F", "state": "TX"} for m in (1, 2, 3, 5)]
+    spans = [dict(SPAN, eligibility_id=m, member_id=m, product_line="Medicare") for m in (1, 2, 3, 5)]
+    fills = [_fill(1, 2, "00000000001", "2023-01-01", 365), _fill(2, 3, "00000000001", "2023-01-01", 30), _fill(9, 5, "00000000002", "2023-03-01", 300)]
+    t = tables(
+        spark,
+        **basic_dims(),
+        member_dim=members,
+        medical_claim_fact=[_dx_claim(1, 1, "2023-03-01", Decimal("9000.00"), "IP"), _dx_claim(2, 2, "2023-04-01"), _dx_claim(3, 3, "2023-05-01")],
+        medical_claim_line_fact=[{"claim_line_id": 100 + c, "claim_id": c} for c in (1, 2, 3)],
+        medical_claim_line_dx_bridge=[{"claim_line_id": 100 + c, "dx_seq": 1, "icd10": "E11.9"} for c in (1, 2, 3)],
+        eligibility_fact=spans,
+        pharmacy_claim_fact=fills,
+    )
+    got = {r["member_id"]: r for r in summary.master_summary(t, W).collect()}
+    r = got[5]
+    assert (r["cohort_reason"], r["index_dt"]) == ("RX", d("2023-03-01"))
+    assert (r["er_visits"], r["ip_admits"], r["office_visits"], r["total_paid_amt"]) == (0, 0, 0, Decimal("0"))
+    assert r["cost_bucket"] == "No Claims"
+    assert (r["covered_days"], r["pdc"], r["adherence_status"]) == (300, Decimal("0.822"), "ADHERENT")
+    assert r["clinical_risk_flag"] == P.RISK_STABLE
