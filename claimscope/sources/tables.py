@@ -10,7 +10,6 @@ default (see :mod:`claimscope.sources.defaults`) or NULL.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,11 +89,17 @@ def conform(df: DataFrame, table: Table | str) -> DataFrame:
     return df.select(*out)
 
 
-def _table_path(base: str, name: str, fmt: str) -> str:
-    for candidate in (f"{base}/{name}.{fmt}", f"{base}/{name}"):
-        if "://" in candidate or os.path.exists(candidate):
-            return candidate
-    return f"{base}/{name}"
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, through the Hadoop FileSystem of the session (local, HDFS, S3, ...)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
+def _table_path(spark: SparkSession, base: str, name: str, fmt: str) -> str:
+    """``<base>/<name>.<fmt>`` if it exists, else ``<base>/<name>`` (a folder of part files)."""
+    with_ext = f"{base.rstrip('/')}/{name}.{fmt}"
+    return with_ext if _exists(spark, with_ext) else f"{base.rstrip('/')}/{name}"
 
 
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -111,7 +116,7 @@ def read_table(spark: SparkSession, path: str, table: Table | str, fmt: str = "p
 
 def load_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> ClaimsTables:
     """Load all ten tables from ``base`` in format ``fmt`` (parquet, csv, orc, json)."""
-    raw = {n: read_raw(spark, _table_path(base, n, fmt), fmt) for n in TABLE_NAMES}
+    raw = {n: read_raw(spark, _table_path(spark, base, n, fmt), fmt) for n in TABLE_NAMES}
     return ClaimsTables({n: conform(raw[n], n) for n in TABLE_NAMES}, raw)
 
 
