@@ -115,12 +115,20 @@ def rx_cohort_detail(t: ClaimsTables, w: MWindow = P.DEFAULT_WINDOW, cond: Condi
     )
 
 
-def combined_cohort(t: ClaimsTables, w: MWindow = P.DEFAULT_WINDOW, cond: Condition = P.DIABETES) -> DataFrame:
-    """One row per member qualifying by DX or RX; DX wins and keeps its own first date."""
+def combined_cohort(
+    t: ClaimsTables, w: MWindow = P.DEFAULT_WINDOW, cond: Condition = P.DIABETES, require_member: bool = True
+) -> DataFrame:
+    """One row per member qualifying by DX or RX; DX wins and keeps its own first date.
+
+    ``require_member=False`` skips the member_dim filter for callers that
+    inner-join member_dim right after (the member summary), saving a shuffle.
+    """
     dx = _first_dates(dx_claims(t, cond, w), "service_from_dt", "index_dt").withColumn("cohort_reason", F.lit(P.COHORT_REASON_DX))
     rx = _first_dates(rx_fills(t, cond, w), "fill_dt", "index_dt").withColumn("cohort_reason", F.lit(P.COHORT_REASON_RX))
     picked = first_by_priority(dx.unionByName(rx), "member_id", ["cohort_reason"], ["index_dt"])
-    return picked.join(member_keys(t), "member_id").select("member_id", "index_dt", "cohort_reason", F.lit(w.measurement_year).alias("measurement_year"))
+    if require_member:
+        picked = picked.join(member_keys(t), "member_id")
+    return picked.select("member_id", "index_dt", "cohort_reason", F.lit(w.measurement_year).alias("measurement_year"))
 
 
 def condition_members(t: ClaimsTables, cond: Condition = P.DIABETES) -> DataFrame:

@@ -24,7 +24,8 @@ from claimscope.sources.tables import ClaimsTables
 
 
 def master_summary(t: ClaimsTables, w: Window = P.DEFAULT_WINDOW, cond: Condition = P.DIABETES, **rank_options) -> DataFrame:
-    cohort = combined_cohort(t, w, cond).select("member_id", "index_dt", "cohort_reason")
+    # the inner join with member_dim below already keeps only known members
+    cohort = combined_cohort(t, w, cond, require_member=False).select("member_id", "index_dt", "cohort_reason")
     members = t.member_dim.select("member_id", "sex", "state", "dob")
     spans = t.eligibility_fact.select("member_id", "product_line")
     adherence = pdc(t, w, cond, by_class=False).select("member_id", "covered_days", "eligible_days", "pdc", "adherence_status")
