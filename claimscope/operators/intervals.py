@@ -37,9 +37,19 @@ def covered_days(
     start: str = "fill_start",
     end: str = "fill_end",
     out: str = "covered_days",
+    cluster_by: Sequence[str] | None = None,
 ) -> DataFrame:
+    """Distinct covered days per ``keys`` group.
+
+    ``cluster_by`` (a prefix of ``keys``, e.g. member_id) hashes the collapsed
+    spans by fewer columns, so a following join on those columns needs no
+    further shuffle; it is applied after the per-start collapse, so the rows
+    moved stay bounded by the window length per group.
+    """
     keys = list(keys)
     longest = _valid(spans, start, end).groupBy(*keys, start).agg(F.max(end).alias(end))
+    if cluster_by:
+        longest = longest.repartition(*cluster_by)
     earlier = Window.partitionBy(*keys).orderBy(start).rowsBetween(Window.unboundedPreceding, -1)
     prev_end = F.max(end).over(earlier)
     first_new = F.greatest(F.col(start), F.date_add(prev_end, 1))  # greatest skips the NULL of row 1

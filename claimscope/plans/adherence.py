@@ -35,8 +35,10 @@ def clip_fills(t: ClaimsTables, w: Window = P.DEFAULT_WINDOW, cond: Condition =
 
 def covered_days(fills: DataFrame, by_class: bool = True, exploded: bool = False) -> DataFrame:
     keys = ["member_id", "therapeutic_class"] if by_class else ["member_id"]
-    op = covered_days_exploded if exploded else merge_covered_days
-    return op(fills, keys)
+    if exploded:
+        return covered_days_exploded(fills, keys)
+    # clustered by member only: the join with eligible days (on member_id) reuses the partitioning
+    return merge_covered_days(fills, keys, cluster_by=["member_id"])
 
 
 def eligible_days(eligibility: DataFrame, w: Window = P.DEFAULT_WINDOW) -> DataFrame:
