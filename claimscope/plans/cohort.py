@@ -37,29 +37,27 @@ def flagged_ndcs(t: ClaimsTables, cond: Condition = P.DIABETES, with_class: bool
 
 
 def dx_claim_ids(t: ClaimsTables, cond: Condition = P.DIABETES) -> DataFrame:
-    """Distinct claim_id with at least one line carrying a flagged diagnosis (any date).
+    """Distinct claim_id with at least one line carrying a flagged diagnosis (any date)."""
+    lines = t.medical_claim_line_dx_bridge.join(flagged_dx_codes(t, cond), "icd10", "left_semi").select("claim_line_id")
+    # distinct on the join key: partial aggregate map-side, and the exchange it
+    # creates is the one the next join needs.
+    return t.medical_claim_line_fact.join(lines.distinct(), "claim_line_id", "left_semi").select("claim_id").distinct()
 
-    The undated bridge and line tables are the largest inputs; this key set is
-    built once per table set and shared by every job that needs it.
-    """
 
-    def build() -> DataFrame:
-        lines = t.medical_claim_line_dx_bridge.join(flagged_dx_codes(t, cond), "icd10", "left_semi").select("claim_line_id")
-        # distinct on the join key: partial aggregate map-side, and the exchange it
-        # creates is the one the next join needs.
-        return t.medical_claim_line_fact.join(lines.distinct(), "claim_line_id", "left_semi").select("claim_id").distinct()
+def dx_claims(t: ClaimsTables, cond: Condition = P.DIABETES, w: MWindow | None = None) -> DataFrame:
+    """Claim headers (claim_id, member_id, service_from_dt) with a flagged diagnosis, optionally in window.
 
-    return t.shared(("dx-claim-ids", cond.dx_flag), build)
+    The undated bridge and line tables are the largest inputs, so the flagged
+    headers (any date) are built once per table set and shared: each job then
+    only filters the written table by date, and that filter reaches its scan.
+    """
 
+    def build() -> DataFrame:
+        headers = t.medical_claim_fact.select("claim_id", "member_id", "service_from_dt")
+        return headers.join(dx_claim_ids(t, cond), "claim_id", "left_semi")
 
-def dx_claims(t: ClaimsTables, cond: Condition = P.DIABETES, w: MWindow | None = None) -> DataFrame:
-    """Claim headers (claim_id, member_id, service_from_dt) with a flagged diagnosis, optionally in window."""
-    claims = t.medical_claim_fact
-    if w is not None:
-        claims = claims.where(in_window("service_from_dt", w))
-    # the key set is a written table, so its size check is cheap; small sets are broadcast
-    ids = checked_broadcast(t, ("dx-claim-ids", cond.dx_flag), dx_claim_ids(t, cond))
-    return claims.select("claim_id", "member_id", "service_from_dt").join(ids, "claim_id", "left_semi")
+    flagged = t.shared(("dx-claims", cond.dx_flag), build)
+    return flagged.where(in_window("service_from_dt", w)) if w is not None else flagged
 
 
 def rx_fills(t: ClaimsTables, cond: Condition = P.DIABETES, w: MWindow | None = None) -> DataFrame:
