@@ -6,11 +6,11 @@ A window with ORDER BY and no PARTITION BY sends every row to one task.  Here:
    session's checkpoint folder, so the plan that produced them runs once.
    ``groupBy(value).count()`` then collapses ties (map-side first), so a value
    shared by a third of all rows is one row from here on.
-2. The distinct table is written too: the size check reads it, and so does
-   the rest of the plan.  Up to ``single_task_rows`` distinct values are
+2. Size check on the distinct values (re-aggregated from the written input,
+   so always the same).  Up to ``single_task_rows`` distinct values are
    ranked in one window task (a checked bound).  Above that they are
    range-partitioned in sort order and tagged with the partition id; the
-   tagged table is written too, so the tags cannot change if a stage is
+   tagged table is written, so the tags cannot change if a stage is
    recomputed after an executor loss.
 3. Rows per tag, then a running offset over the tags (one row per tag: tiny,
    broadcast to every task).
@@ -46,7 +46,7 @@ def percent_rank_desc(
     """``df`` plus ``out`` = percent_rank of ``value`` descending, NULLs first (ties share a rank)."""
     order = F.col(value).desc_nulls_first()
     df = materialize(df, "rank-input")
-    distinct = materialize(df.groupBy(value).agg(F.count(F.lit(1)).alias("_n")), "rank-values")
+    distinct = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     n_distinct = distinct.count()
 
     if n_distinct <= single_task_rows:
