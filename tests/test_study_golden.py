@@ -165,3 +165,10 @@ def test_master_summary_matches_published(study):
 def test_condition_members_include_any_time(study):
     ids = {r["member_id"] for r in cohort.condition_members(study).collect()}
     assert {1001, 1011, 1013, 1018, 1022} <= ids
+
+
+def test_master_summary_same_through_the_range_partitioned_rank(study):
+    """Forcing the rank's range-tagged path and salted join-back changes nothing."""
+    default = rows(summary.master_summary(study, W))
+    ranged = rows(summary.master_summary(study, W, single_task_rows=2, rows_per_range=3, broadcast_rows=0))
+    assert ranged == default
