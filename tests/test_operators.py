@@ -190,3 +190,21 @@ def test_span_pairs_equal_brute_force(spark):
                     "member_id", "span1_start", "span1_end", "span2_start", "span2_end"
                 )
                 assert sorted((tuple(r) for r in got.collect()), key=repr) == _brute_pairs(data, strict)
+
+
+def test_salted_lookup_spreads_one_hot_value_over_tasks(spark):
+    """All rows share one lookup value; the salted join still spreads them over several partitions."""
+    facts = spark.range(4000).select(F.col("id").alias("member_id"), F.lit(7).cast("long").alias("v"))
+    lookup = spark.createDataFrame([(7, "seven")], "v long, label string")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = salted_lookup(facts, lookup, "v", salt_from=["member_id"], salts=8)
+        plain = facts.join(lookup, "v")
+        salted_parts = {r["p"] for r in out.select(F.spark_partition_id().alias("p")).distinct().collect()}
+        plain_parts = {r["p"] for r in plain.select(F.spark_partition_id().alias("p")).distinct().collect()}
+        assert out.count() == plain.count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plain_parts) == 1 and len(salted_parts) > 1
