@@ -1,0 +1,18 @@
+from __future__ import annotations
+
+import pytest
+
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture
+def make_docs(spark):
+    """documents rows from (doc_id, text[, lang[, source]]) tuples."""
+
+    def make(rows, schema=DOCUMENT):
+        full = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "s", None if r[1] is None else len(r[1])) for r in rows]
+        return spark.createDataFrame(full, schema)
+
+    return make
+
+

@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+import random
+import re
+
+from conftest_llm import ODD_TEXTS
+
+from claimscope.llm.licenses import TEMPLATES, scan
+
+
+def words(text):
+    return [w.translate(str.maketrans("123456789", "0" * 9)) for w in re.findall(r"[^\W_]+", (text or "").lower())]
+
+
+def brute(text):
+    """License -> containment in the best stretch of the template's length, stepping by one word."""
+    out, w = {}, words(text)
+    for name, template in TEMPLATES.items():
+        t = words(template)
+        wanted = {tuple(t[i : i + 5]) for i in range(len(t) - 4)}
+        have = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+        best = max((len(wanted & set(have[i : i + len(t) - 4])) / len(wanted) for i in range(len(have))), default=0)
+        if best >= 0.8:
+            out[name] = best
+    return out
+
+
+def test_templates_found_wherever_they_stand(make_docs):
+    rng = random.Random(5)
+    filler = [rng.choice("abcdefgh") * rng.randrange(2, 6) for _ in range(400)]
+    texts = []
+    for name, template in TEMPLATES.items():
+        for cut in (0, 1, 7, 38, 201):
+            texts.append((name, " ".join([*filler[:cut], template.upper() if cut == 7 else template.replace("3", "2"), *filler[: rng.randrange(60)]])))
+    rows = [(i, t) for i, (_, t) in enumerate(texts)]
+    found = {(r.doc_id, r.license) for r in scan(make_docs(rows)).collect()}
+    for i, (name, _) in enumerate(texts):
+        assert (i, name) in found
+    assert found >= {(i, n) for i, t in rows for n in brute(t)}
+
+
+def test_partial_templates(make_docs):
+    rng = random.Random(6)
+    rows, want = [], set()
+    for i in range(60):
+        t = TEMPLATES[rng.choice(["mit", "apache-header", "gpl-header", "bsd-2"])].split()
+        for _ in range(rng.randrange(0, 5)):
+            t[rng.randrange(len(t))] = "zz"
+        rows.append((i, " ".join(["pp qq"] * rng.randrange(30) + t + ["rr"] * 20)))
+        want |= {(i, n) for n in brute(rows[-1][1])}
+    out = scan(make_docs(rows)).collect()
+    assert {(r.doc_id, r.license) for r in out} >= want
+    assert all(r.containment >= 0.8 for r in out)
+
+
+def test_clean_and_odd_texts(make_docs):
+    rows = [*enumerate(ODD_TEXTS), (90, "This work is not about the MIT License at all"), (None, "Released under the MIT License."), (91, "x Released under the MIT License."), (91, "x Released under the MIT License."), (91, "Licensed under CC BY-NC 2.5.")]
+    out = sorted(((r.doc_id, r.license, r.first_word) for r in scan(make_docs(rows)).collect()), key=str)
+    assert out == [(91, "cc-by-nc-notice", 0), (91, "mit-notice", 1), (None, "mit-notice", 0)]
+    assert scan(make_docs([])).collect() == []

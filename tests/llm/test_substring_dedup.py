@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+from conftest_llm import ODD_TEXTS
+
+from claimscope.llm.substring_dedup import dedup_digest, remove_repeats, repeated_spans
+
+SMOKE_SF = "/root/testdata/sf0.001"
+
+
+def brute(rows, size):
+    """(doc_id, text) -> kept words, by sets of word tuples."""
+    first: dict = {}
+    split = [(i if i is not None else float("inf"), (t or "").encode().split()) for i, t in rows]
+    for i, w in split:
+        for k in range(len(w) - size + 1):
+            key = tuple(w[k : k + size])
+            first[key] = min(first.get(key, float("inf")), i)
+    out = []
+    for i, w in split:
+        gone = set()
+        for k in range(len(w) - size + 1):
+            if first[tuple(w[k : k + size])] < i:
+                gone.update(range(k, k + size))
+        out.append((len(w), len(gone), hashlib.sha256(b" ".join(x for k, x in enumerate(w) if k not in gone)).hexdigest()))
+    return out
+
+
+def got(df):
+    return sorted((r.doc_id if r.doc_id is not None else -1, r.n_words, r.n_removed, r.kept_sha256) for r in df.collect())
+
+
+def wanted(rows, size):
+    return sorted((i if i is not None else -1, *x) for (i, _), x in zip(rows, brute(rows, size), strict=True))
+
+
+def test_against_brute_force(make_docs):
+    rng = random.Random(7)
+    vocabulary = ["a", "b", "é", "d e", "longer"]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randrange(0, 60)))) for i in range(120)]
+    rows += [(200 + i, rows[5][1]) for i in range(20)] + [(i, t) for i, t in enumerate(ODD_TEXTS, 300)]
+    rows += [(None, rows[8][1]), (None, None), (8, rows[9][1]), (8, rows[8][1]), (8, rows[8][1])]
+    for size in (1, 4, 9):
+        assert got(dedup_digest(make_docs(rows).repartition(5), size)) == wanted(rows, size)
+
+
+def test_smoke_table(spark):
+    docs = spark.read.parquet(f"{SMOKE_SF}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert got(dedup_digest(docs)) == wanted(rows, 50)
+
+
+def test_remove_keeps_rows_and_columns(spark):
+    text = " ".join(f"w{i}" for i in range(8))
+    docs = spark.createDataFrame([(1, f"x\n{text}", 5, "a"), (2, f"{text}  y", 6, None), (3, "as\n it  is", 7, "c")], "doc_id long, text string, starts int, `row` string")
+    out = {r.doc_id: (r.text, r.starts, r.row) for r in remove_repeats(docs, 8).collect()}
+    assert out == {1: (f"x\n{text}", 5, "a"), 2: ("y", 6, None), 3: ("as\n it  is", 7, "c")}
+
+
+def test_spans_are_maximal(make_docs):
+    base = " ".join(f"w{i}" for i in range(30))
+    spans = repeated_spans(make_docs([(1, base), (2, f"p q {base} r"), (3, "p q")]), 10).collect()
+    assert [(r.doc_id, r.starts, r.ends) for r in spans] == [(2, [2], [32])]
+
+
+def test_empty_table(make_docs):
+    assert dedup_digest(make_docs([])).collect() == []
+    assert remove_repeats(make_docs([])).collect() == []
