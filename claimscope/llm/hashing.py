@@ -63,9 +63,9 @@ class Words(NamedTuple):
     offsets: np.ndarray
 
 
-def _slice_words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _slice_words(buf: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     space = np.ones(len(buf) + 2, dtype=bool)
-    space[1:-1] = IS_SPACE[buf]
+    space[1:-1] = between[buf]
     edges = np.flatnonzero(space[1:] != space[:-1])
     starts, ends = edges[0::2], edges[1::2]
     sums = _sums(buf.astype(np.uint64) + np.uint64(1), BYTE_BASE)
@@ -73,8 +73,9 @@ def _slice_words(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), starts
 
 
-def words(texts: list[bytes], lower: bool = False) -> Words:
-    """Hash every word of every text."""
+def words(texts: list[bytes], lower: bool = False, between: np.ndarray = IS_SPACE) -> Words:
+    """Hash every word of every text; ``between`` tells the bytes that separate
+    words (0x0A among them)."""
     joined = b"\n".join(texts) + b"\n"
     buf = np.frombuffer(joined, dtype=np.uint8)
     if lower:
@@ -84,13 +85,13 @@ def words(texts: list[bytes], lower: bool = False) -> Words:
     hashes, starts, at = [], [], 0
     while at < len(buf):
         end = at + SLICE
-        while end < len(buf):  # cut after a white space byte
-            spaces = np.flatnonzero(IS_SPACE[buf[end - 1 : end + SLICE]])
+        while end < len(buf):  # cut after a separator
+            spaces = np.flatnonzero(between[buf[end - 1 : end + SLICE]])
             if len(spaces):
                 end += int(spaces[0])
                 break
             end += SLICE
-        h, s = _slice_words(buf[at:end])
+        h, s = _slice_words(buf[at:end], between)
         hashes.append(h)
         starts.append(s + at)
         at = end

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimscope.llm import chat, jaccard_join, licenses, mixing, substring_dedup
+from claimscope.llm import chat, jaccard_join, licenses, mixing, packing, quality, shards, spotsigs, substring_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_digest(_table(spark, sf_dir, "documents"))
 
 
+def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -25,6 +37,10 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_components(_table(spark, sf_dir, "documents"))
 
 
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.materialised(_table(spark, sf_dir, "documents"))
+
+
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = r"\### Assistant: </turn> ok"
@@ -32,12 +48,28 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chats.unionByName(added))
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(_table(spark, sf_dir, "embeddings")).select("query_id", "rank", "vec_id", "score")
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_substring_dedup, op5_license_scan, op6_jaccard_join, op8_chat_format, op10_mix)
+    f.__name__: f
+    for f in (
+        op1_substring_dedup,
+        op2_spotsigs,
+        op3_quality,
+        op4_packing,
+        op5_license_scan,
+        op6_jaccard_join,
+        op7_training_order,
+        op8_chat_format,
+        op9_topk,
+        op10_mix,
+    )
 }
 
 #: DuckDB SQL, where it can state a query.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Iterator
 
@@ -9,7 +10,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimscope.session import ensure_checkpoint_dir
 
@@ -35,10 +37,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def rows_of(batches: Iterator[pa.RecordBatch], limit: int, text: str = "text") -> Iterator[pa.Table]:
+def rows_of(batches: Iterator[pa.RecordBatch], limit: int, text: str = "text", most: int = 1 << 16) -> Iterator[pa.Table]:
     """Regroup Arrow batches so that a table holds about ``limit`` bytes of
-    text at most, or one row; a longer text is never cut."""
-    held, size = [], 0
+    text and ``most`` rows at most, or one row; a text is never cut."""
+    held, size, count = [], 0, 0
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -48,13 +50,15 @@ def rows_of(batches: Iterator[pa.RecordBatch], limit: int, text: str = "text") -
         while at < batch.num_rows:
             ends = np.cumsum(lengths[at:])
             take = max(int(np.searchsorted(ends, limit - size, side="right")), 0 if held else 1)
+            take = min(take, most - count)
             if take:
                 held.append(batch.slice(at, take))
                 size += int(ends[take - 1])
+                count += take
                 at += take
-            if at < batch.num_rows or size >= limit:
+            if at < batch.num_rows or size >= limit or count >= most:
                 yield pa.Table.from_batches(held)
-                held, size = [], 0
+                held, size, count = [], 0, 0
     if held:
         yield pa.Table.from_batches(held)
 
@@ -66,3 +70,13 @@ def ascending(values: np.ndarray) -> bytes:
 
 def from_ascending(blob: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zstandard.decompress(blob), dtype="<i8"))
+
+
+def range_number(value: Column, bounds: list[int]) -> Column:
+    """How many bounds lie below ``value`` (null: none), found in two steps of sqrt(bounds)."""
+    if not bounds:
+        return F.lit(0)
+    step = math.isqrt(len(bounds) - 1) + 1
+    groups = F.size(F.filter(F.lit(bounds[::step]), lambda b: b < value))
+    inside = F.size(F.filter(F.slice(F.lit(bounds), F.greatest(F.lit(1), (groups - 1) * step + 1), F.lit(step)), lambda b: b < value))
+    return F.coalesce(F.when(groups == 0, 0).otherwise((groups - 1) * step + inside), F.lit(0))

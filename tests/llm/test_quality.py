@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+from conftest_llm import ODD_TEXTS
+
+from claimscope.llm import quality
+from claimscope.llm.quality import Model, fit, good_documents, score_documents, term_rows
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+
+
+def test_held_out_accuracy(spark, table):
+    docs, labels = table
+    rows = score_documents(docs, labels).collect()
+    assert len(rows) == docs.count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
+    truth = {r.doc_id: r.quality for r in labels.collect()}
+    judged = [(truth[r.doc_id], r.predicted) for r in rows if r.held_out and r.doc_id in truth]
+    assert len(judged) > 50 and np.mean([a == b for a, b in judged]) >= 0.95
+
+
+def test_held_out_labels_do_not_matter(spark, table):
+    from pyspark.sql import functions as F
+
+    docs, labels = table
+    turned = labels.withColumn("quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    a, b = ({r.doc_id: r.score for r in score_documents(d, x).collect()} for d, x in ((docs, labels), (docs.repartition(3), turned)))
+    assert a == pytest.approx(b, abs=2e-5)
+
+
+def test_votes_against_a_plain_loop():
+    rng = np.random.default_rng(2)
+    terms = term_rows([bytes(rng.choice(list(b"ab A#\n"), 40).astype(np.uint8)) for _ in range(60)])
+    model = Model(np.ones(quality.TERMS, np.float32), quality._svd(terms, 8), np.zeros((0, 1), np.float32), (np.arange(60) % 3 > 0).astype(float))
+    model = model._replace(vectors=model.project(terms))
+    scores = model.score(terms[:10])
+    for i, v in enumerate(model.project(terms[:10])):
+        cosines = [float(v @ x) for x in model.vectors]
+        near = sorted(range(60), key=lambda j: -cosines[j])[: quality.NEIGHBOURS]
+        w = [max(cosines[j], 0) ** quality.SHARPNESS for j in near]
+        assert scores[i] == pytest.approx(sum(a * model.labels[j] for a, j in zip(w, near, strict=True)) / sum(w), abs=1e-3)
+
+
+def test_document_counts_cover_all_rows(spark, table):
+    docs, labels = table
+    model = fit(docs, labels)
+    terms = term_rows([r.text.encode() for r in docs.select("text").collect()])
+    assert model.weights == pytest.approx(np.log((1 + len(terms)) / (1 + (terms > 0).sum(axis=0))) + 1, rel=1e-5)
+    assert len(fit(docs, labels, sample=20).labels) == 20
+
+
+def test_odd_rows(make_docs, spark):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, 0), (3, None, 0), (1, 1, 1)], "doc_id long, quality int, toxic int")
+    rows = [(i, t) for i, t in enumerate(["A plain text. It is.", "### $$ ##", *ODD_TEXTS], 1)] + [(None, None), (1, "x"), (1, "x")]
+    out = score_documents(make_docs(rows), labels).collect()
+    assert len(out) == len(rows) and all(0 <= r.score <= 1 for r in out)
+    assert {r.score for r in score_documents(make_docs(rows), labels.where("false")).collect()} == {0.5}
+    assert score_documents(make_docs([]), labels).collect() == []
+    clash = spark.createDataFrame([(1, "Plain text.", 3, 4)], "doc_id long, text string, score int, quality int")
+    assert good_documents(clash, labels).columns == clash.columns
