@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 import re
 
-from conftest_llm import ODD_TEXTS
+from conftest_llm import ODD_TEXTS, make_docs  # noqa: F401
 
 from claimscope.llm.licenses import TEMPLATES, scan
 

@@ -5,7 +5,7 @@ from collections import Counter
 
 import duckdb
 import pytest
-from conftest_llm import ODD_TEXTS
+from conftest_llm import ODD_TEXTS, make_docs  # noqa: F401
 
 from claimscope.llm.mixing import ORACLE, mix_report, mixed, source_targets
 

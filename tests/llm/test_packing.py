@@ -3,7 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-from conftest_llm import ODD_TEXTS
+from conftest_llm import ODD_TEXTS, make_docs  # noqa: F401
 from hypothesis import given
 from hypothesis import strategies as st
 from tokenizers import Tokenizer

@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest_llm import ODD_TEXTS
+from conftest_llm import ODD_TEXTS, make_docs  # noqa: F401
 
 from claimscope.llm import quality
 from claimscope.llm.quality import Model, fit, good_documents, score_documents, term_rows

@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest_llm import ODD_TEXTS
+from conftest_llm import ODD_TEXTS, make_docs  # noqa: F401
 from tokenizers import Tokenizer
 
 from claimscope.llm import shards

@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest_llm import ODD_TEXTS
+from conftest_llm import ODD_TEXTS, make_docs  # noqa: F401
 
 from claimscope.llm.spotsigs import ANCHORS, CHAIN, edited, encoded, fingerprint_documents, fingerprints, length_class, likeness
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 
-from conftest_llm import ODD_TEXTS
+from conftest_llm import ODD_TEXTS, make_docs  # noqa: F401
 
 from claimscope.llm.substring_dedup import dedup_digest, remove_repeats, repeated_spans
 
