@@ -23,11 +23,18 @@ def in_window(col: str | Column, w: Window) -> Column:
 def age_years(dob: str | Column, asof: _dt.date) -> Column:
     """Completed years between ``dob`` and ``asof`` (a 29 Feb birthday completes on 1 Mar).
 
-    ``timestampdiff(YEAR)`` counts whole years like an age interval's year part;
-    ``months_between/12`` would round leap-day birthdays up.
+    Calendar parts only: a timestamp difference would depend on the session
+    zone (a birth date whose midnight a zone skips loses a year), and
+    ``months_between/12`` would round leap-day birthdays up.  A birth date
+    after ``asof`` counts back the same way, toward zero.
     """
     d = F.col(dob) if isinstance(dob, str) else dob
-    return F.timestamp_diff("YEAR", d, date_lit(asof))
+    day = F.month(d) * 100 + F.dayofmonth(d)
+    asof_day = asof.month * 100 + asof.day
+    years = F.lit(asof.year) - F.year(d)
+    completed = years - F.when(day > asof_day, 1).otherwise(0)
+    to_come = years + F.when(day < asof_day, 1).otherwise(0)
+    return F.when(d <= date_lit(asof), completed).otherwise(to_come).cast("bigint")
 
 
 def clipped_end(fill_dt: str, days_supply: str, w: Window) -> Column:

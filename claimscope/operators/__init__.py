@@ -2,7 +2,7 @@
 
 from claimscope.operators.intervals import covered_days, covered_days_exploded
 from claimscope.operators.joins import fits_broadcast, salted_lookup, sized_broadcast
-from claimscope.operators.keys import duplicate_keys, null_key_count, orphan_counts
+from claimscope.operators.keys import duplicate_keys, orphan_counts
 from claimscope.operators.materialize import materialize
 from claimscope.operators.pick import first_by_priority
 from claimscope.operators.rank import percent_rank_desc
@@ -14,7 +14,6 @@ __all__ = [
     "first_by_priority",
     "fits_broadcast",
     "materialize",
-    "null_key_count",
     "orphan_counts",
     "percent_rank_desc",
     "salted_lookup",

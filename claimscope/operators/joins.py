@@ -22,8 +22,12 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; counts at most ``max_rows + 1`` of them."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True if ``df`` has at most ``max_rows`` rows.
+
+    A plain count: every task sends one number.  A limit before it would send
+    up to ``max_rows`` rows of every task to a single one.
+    """
+    return df.count() <= max_rows
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, small: bool | None = None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Key checks: duplicates, NULL keys, orphan foreign keys.
+"""Key checks: duplicates, orphan foreign keys.
 
 All are aggregates with a map-side partial step, so a hot key value is one
 row per task before any shuffle.
@@ -17,15 +17,6 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], count_col: str = "occurre
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col)).where(F.col(count_col) > 1)
 
 
-def null_key_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: number of rows with any key column NULL."""
-    any_null = None
-    for k in keys:
-        cond = F.col(k).isNull()
-        any_null = cond if any_null is None else (any_null | cond)
-    return df.agg(F.count_if(any_null).alias("null_keys"))
-
-
 def orphan_counts(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Rows of ``child`` whose non-NULL ``fk`` has no ``parent.pk``: one row (orphan_rows, orphan_keys).
 

@@ -83,6 +83,8 @@ def member_keys(t: ClaimsTables) -> DataFrame:
 
 
 def _with_member(first: DataFrame, t: ClaimsTables) -> DataFrame:
+    """Members' attributes; callers end with a distinct, since nothing keeps a
+    member from being delivered twice."""
     members = t.member_dim.select("member_id", "sex", "state", "dob")
     return first.join(members, "member_id")
 
@@ -97,7 +99,7 @@ def dx_cohort_detail(t: ClaimsTables, w: MWindow = P.DEFAULT_WINDOW, cond: Condi
         age_years("dob", w.age_asof).alias(f"age_{w.age_asof.year}"),
         "first_dm_claim_dt",
         F.lit(P.COHORT_REASON_DX).alias("cohort_reason"),
-    )
+    ).distinct()
 
 
 def rx_cohort_detail(t: ClaimsTables, w: MWindow = P.DEFAULT_WINDOW, cond: Condition = P.DIABETES) -> DataFrame:
@@ -110,7 +112,7 @@ def rx_cohort_detail(t: ClaimsTables, w: MWindow = P.DEFAULT_WINDOW, cond: Condi
         age_years("dob", w.age_asof).alias(f"age_{w.age_asof.year}"),
         "first_rx_fill_dt",
         F.lit(P.COHORT_REASON_RX).alias("cohort_reason"),
-    )
+    ).distinct()
 
 
 def combined_cohort(
@@ -160,4 +162,4 @@ def window_first_event(t: ClaimsTables, w: MWindow = P.DEFAULT_WINDOW, cond: Con
         age_years("dob", w.age_asof).alias(f"age_{w.age_asof.year}"),
         "first_dm_claim_dt",
         F.lit(P.COHORT_REASON_DX).alias("cohort_reason"),
-    )
+    ).distinct()

@@ -2,8 +2,9 @@
 
 ``start_row_checks`` reads new files of one table with its declared schema,
 applies the row-local check, and appends the offending rows as Parquet.
-Progress is kept in a checkpoint under the session's checkpoint folder, so a
-restarted query (or a lost executor) resumes without re-emitting rows.
+Progress is kept in the checkpoint folder that the caller names, one for each
+source and sink: a later application that names it again goes on where this
+one stopped, and neither loses nor repeats rows.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from claimscope.plans.quality import invalid_days_supply_rows, nonpositive_paid_rows
 from claimscope.schema import TABLES
-from claimscope.session import ensure_checkpoint_dir
 from claimscope.sources.tables import conform
 
 CHECKS = {
@@ -27,8 +27,8 @@ def start_row_checks(
     table: str,
     source: str,
     sink: str,
+    checkpoint: str,
     fmt: str = "parquet",
-    checkpoint: str | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
@@ -51,7 +51,6 @@ def start_row_checks(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = CHECKS[table](conform(reader.load(source), declared))
-    location = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/claimscope-stream-{table}"
-    writer = rows.writeStream.format("parquet").option("path", sink).option("checkpointLocation", location).outputMode("append")
+    writer = rows.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).outputMode("append")
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()

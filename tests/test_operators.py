@@ -15,7 +15,6 @@ from claimscope.operators import (
     covered_days_exploded,
     duplicate_keys,
     first_by_priority,
-    null_key_count,
     orphan_counts,
     percent_rank_desc,
     salted_lookup,
@@ -124,7 +123,6 @@ def test_key_helpers(spark):
     child = spark.createDataFrame([(1,), (1,), (2,), (None,), (7,), (7,), (7,)], "k long")
     parent = spark.createDataFrame([(1,), (2,)], "k long")
     assert rows(duplicate_keys(child, ["k"])) == [(1, 2), (7, 3)]
-    assert rows(null_key_count(child, ["k"])) == [(1,)]
     assert rows(orphan_counts(child, "k", parent, "k")) == [(3, 1)]
 
 
