@@ -132,8 +132,11 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str = tokens.PATH, key:
     if total:
         rows = texts.mapInArrow(_records(tokenizer, first, key), "slot long, record binary")
         rows = rows.select(F.floor(F.col("slot") / records).alias("shard"), "slot", "record")
-        width = min(partitions(docs.sparkSession), -(-total // records))
-        rows = rows.repartitionByRange(width, "shard").sortWithinPartitions("shard", "slot").select("shard", "record")
+        files = -(-total // records)
+        width = min(partitions(docs.sparkSession), files)
+        # slots are known to fill range(total): ranges of equal length need no sampling, which would make all tokens once more
+        rows = rows.repartitionById(width, F.floor(F.col("shard") * width / files).cast("int"))
+        rows = rows.sortWithinPartitions("shard", "slot").select("shard", "record")
         rows = rows.mapInArrow(_plain, "shard long, record binary").select("shard", F.col("record").cast("string").alias("value"))
         rows.write.partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(path)
     return total
