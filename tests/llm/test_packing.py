@@ -98,3 +98,16 @@ def test_odd_rows(make_docs):
     out = pack(make_docs([(1, "a"), (1, "a"), (None, None)]).coalesce(1)).collect()
     assert sorted(((r.doc_id, r.length, r.offset) for r in out), key=str) == [(1, 2, 0), (1, 2, 2), (None, 1, 4)]
     assert pack(make_docs([])).collect() == []
+
+
+#: Texts that hold the string of the file's added token, or nearly.
+ADDED = ["<|endoftext|>", "a <|endoftext|> b", "a  <|endoftext|>  b", "<|endoftext|><|endoftext|>\n\n x", "x<|endoftext|>'s 12", "<|endoftext|", "<|ENDOFTEXT|> <|end", "\n <|endoftext|>\t\t", "é  ü<|endoftext|>中文 😀"]
+
+
+def test_added_tokens_are_those_of_the_tokenizers_file(make_docs):
+    encode, t = Encoder(), reference()
+    assert encode("a <|endoftext|> b").tolist() == [64, 220, 50256, 275, END]
+    for text in ADDED:
+        assert encode(text).tolist() == [*t.encode(text, add_special_tokens=False).ids, END]
+    rows = list(enumerate(ADDED))
+    check(pack(make_docs(rows).coalesce(1)).collect(), rows, 2048)

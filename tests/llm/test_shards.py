@@ -56,3 +56,10 @@ def test_odd_rows(make_docs):
     assert [r.ids_crc32 for r in out] == [zlib.crc32(ids[i : i + 2048].tobytes()) for i in range(0, len(ids), 2048)]
     assert len(materialised(make_docs(rows).repartition(4)).collect()) >= len(out)
     assert materialised(make_docs([])).collect() == []
+
+
+def test_added_token_strings(make_docs):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>\n\n"]
+    (row,) = materialised(make_docs(list(enumerate(texts))).coalesce(1)).collect()
+    ids = ids_of(texts)
+    assert (row.n_tokens, row.ids_crc32) == (len(ids), zlib.crc32(ids.tobytes()))
