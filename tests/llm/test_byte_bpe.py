@@ -1,0 +1,116 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from claimscope.llm import byte_bpe, pretokens
+from claimscope.llm.bpe_transducer import Merges, Transducer, read_ranks, transducer
+from tests.llm.conftest_llm import ODD_TEXTS, make_docs  # noqa: F401
+
+RANKS = read_ranks(byte_bpe.PATH)
+LIBRARY = tiktoken.Encoding("test", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={})
+WORDS = byte_bpe.WordIds(transducer(byte_bpe.PATH), pretokens.class_table())
+
+
+def ids_of(texts):
+    blobs = [t.encode() for t in texts]
+    ids, at = WORDS(np.frombuffer(b"".join(blobs), np.uint8), np.concatenate([[0], np.cumsum([len(b) for b in blobs])]).astype(np.int64))
+    return [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" '\n\tsdlvremtab 1½é中😀.-’\xa0"), st.characters(exclude_categories=["Cs"])), max_size=40), min_size=1, max_size=4))
+def test_ids_are_those_of_the_library(texts):
+    assert ids_of(texts) == [LIBRARY.encode_ordinary(t) for t in texts]
+
+
+def test_contractions_spaces_and_long_words():
+    texts = ["they're we'll I'd 's's ''s '  's don't'", " \n x", "x \n", "\n\n x", "a" * 3000, "ab" * 900 + "中" * 500, " " * 99, "", "<|endoftext|>"]
+    assert ids_of(texts) == [LIBRARY.encode_ordinary(t) for t in texts]
+
+
+def test_pairs_by_undoing_merges_are_those_by_merging():
+    merges, rng = Merges(RANKS), random.Random(3)
+    for _ in range(3000):
+        top = rng.choice([300, 3000, len(RANKS)])
+        left, right = rng.randrange(top), rng.randrange(top)
+        assert merges.compatible(left, right) == (merges.merged(merges.tokens[left] + merges.tokens[right]) == [left, right])
+
+
+def test_tokens_out_of_the_order_of_merges():
+    """Ranks that no training gives: a token below its parts, one that merges do not reach."""
+    ranks = {bytes([b]): b for b in range(256)} | {b"abc": 256, b"ab": 257, b"bc": 258, b"wxyz": 259, b"aa": 260, b"cab": 261}
+    library = tiktoken.Encoding("own", pat_str=r"[a-z]+", mergeable_ranks=ranks, special_tokens={})
+    machine = Transducer(Merges(ranks))
+    rng = random.Random(5)
+    words = ["abc", "wxyz", "wxyzw", "aaaa", "aaa"] + ["".join(rng.choice("abcwxyz") for _ in range(rng.randrange(1, 12))) for _ in range(400)]
+    assert [machine.encode(w.encode()) for w in words] == [library.encode_ordinary(w) for w in words]
+
+
+@pytest.mark.parametrize("most", [2, 7, 1000])
+def test_states_are_bounded_on_any_input(most):
+    machine, rng = Transducer(Merges(RANKS), most), random.Random(most)
+    for word in ["antidisestablishmentarianism" * 5, "".join(rng.choice("aest ion") for _ in range(400)).replace(" ", ""), "中文字" * 30]:
+        assert machine.encode(word.encode()) == LIBRARY._encode_single_piece(word.encode())
+        assert len(machine) <= most + 1
+
+
+def test_look_ahead_is_bounded():
+    """What a long word has not emitted before its end stays short."""
+    machine = Transducer(Merges(RANKS))
+    for word in [b"a" * 2000, b"ab" * 1000, ("中" * 500).encode(), b"ing" * 700]:
+        machine.encode(word)
+    assert max(len(pending) for _, starts in machine._states for _, pending in starts) < 40
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.binary(max_size=60), st.lists(st.integers(0, 60), max_size=6))
+def test_streaming_decode_in_any_pieces(data, cuts):
+    stream, bounds = byte_bpe.Utf8Stream(), [0, *sorted(min(c, len(data)) for c in cuts), len(data)]
+    text = "".join(stream.feed(data[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)) + stream.close()
+    assert text == data.decode("utf-8", "replace")
+
+
+def test_stream_holds_back_only_what_is_unfinished():
+    stream = byte_bpe.Utf8Stream()
+    assert [stream.feed(bytes([b])) for b in "aé中😀".encode()] == ["a", "", "é", "", "", "中", "", "", "", "😀"]
+    assert stream.close() == ""
+
+
+def want(rows):
+    out = []
+    for r in rows:
+        ids = LIBRARY.encode_ordinary(r[1] or "")
+        out.append((r[0], len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((r[1] or "").encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in df.collect()), key=str)
+
+
+def test_odd_texts_repeated_rows_and_other_columns(spark, make_docs):
+    rows = [(i, t) for i, t in enumerate(ODD_TEXTS)] + [(1, "again"), (1, "again"), (None, "no id")]
+    df = make_docs(rows).selectExpr("*", "1 AS ids", "'x' AS n_tokens", "2 AS decoded")
+    assert got(byte_bpe.round_trip_digest(df.repartition(3))) == want(rows)
+    assert byte_bpe.round_trip_digest(make_docs([])).collect() == []
+
+
+def test_decode_of_null_and_unknown_ids(spark):
+    schema = "doc_id long, n_tokens long, ids binary"
+    rows = spark.createDataFrame([(1, 0, None), (2, 1, bytearray(np.array([RANKS[b"\xe4"]], "<u4").tobytes()))], schema)
+    assert [(r.doc_id, r.decoded, r.decoded_text) for r in byte_bpe.decode(rows).orderBy("doc_id").collect()] == [(1, None, None), (2, b"\xe4", "�")]
+    with pytest.raises(Exception, match="not in the vocabulary"):
+        byte_bpe.decode(spark.createDataFrame([(1, 1, bytearray(np.array([60000], "<u4").tobytes()))], schema)).collect()
+
+
+def test_smoke_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    assert got(byte_bpe.round_trip_digest(docs)) == want([(r.doc_id, r.text) for r in docs.collect()])
