@@ -3,16 +3,19 @@
 A sequence of tokens is what BPE makes of its bytes just when every two
 neighbours are (``Merges.compatible``): merging their joined bytes gives the
 two back.  So a prefix of a word has one last token, the only suffix token
-that is compatible with the last token of what stands before it, and the
-ids of a word follow from left to right.
-
-After some bytes only starts matter from which the bytes read so far begin a
-longer token.  A state of the transducer is the last id already emitted and,
-for each such start, the bytes since then and the ids still pending before it.
-What all starts agree on is emitted; starts die after at most the longest
-token, which bounds the look-ahead.  States and arcs are made when first
-met and dropped together when there are ``MOST`` of them, so memory is bounded
-on any input, in the middle of a word too.
+that is compatible with the last token of what stands before it.
+
+The transducer that reads a byte and guesses where tokens begin is made
+deterministic by subsets: a state is the set of starts from which the bytes
+read so far begin a longer token, each as a node of the tokens' trie.  States and arcs
+are made when first met; the oldest start determines a state, so there are no more
+than the trie has nodes, whatever the corpus.  An arc names the tokens that can
+end at its byte, the longest first; registers hold the last token of the few prefixes
+that are starts, and decide which one does.
+
+Ids are emitted when the segmentations before all starts agree on them; that
+is looked for every ``LOOK`` bytes and at a word's end, so a word of any length
+needs only the registers of a short stretch.
 """
 
 from __future__ import annotations
@@ -20,8 +23,8 @@ from __future__ import annotations
 import base64
 from functools import lru_cache
 
-#: States kept at most.
-MOST = 1 << 17
+#: Bytes after which decided ids are emitted.
+LOOK = 128
 #: Pairs of ids whose compatibility is kept.
 PAIRS = 1 << 18
 
@@ -42,7 +45,7 @@ class Merges:
         self.ranks = ranks
         self.tokens = {i: t for t, i in ranks.items()}
         self._edge: dict[int, tuple[tuple[int, ...], tuple[int, ...]]] = {}
-        self._compatible: dict[int, bool] = {}  # (left + 1) << 32 | right
+        self.known: dict[int, bool] = {}  # (left + 1) << 32 | right
 
     def _parts(self, piece: bytes, least: int = 1) -> list[bytes]:
         parts = [piece[i : i + 1] for i in range(len(piece))]
@@ -95,95 +98,87 @@ class Merges:
     def compatible(self, left: int, right: int) -> bool:
         """Whether ``right`` can follow ``left`` (-1: the start of a word)."""
         pair = (left + 1) << 32 | right
-        known = self._compatible.get(pair)
+        known = self.known.get(pair)
         if known is None:
-            if len(self._compatible) >= PAIRS:
-                self._compatible.clear()
-            known = self._compatible[pair] = self._apart(left, right) if left >= 0 else self.merged(self.tokens[right]) == [right]
+            if len(self.known) >= PAIRS:
+                self.known.clear()
+            known = self.known[pair] = self._apart(left, right) if left >= 0 else self.merged(self.tokens[right]) == [right]
         return known
 
 
-#: last id emitted (-1: none) and the starts, the oldest first: node of the
-#: bytes since then (of the tokens' trie), ids pending before it
-State = tuple[int, tuple[tuple[int, tuple[int, ...]], ...]]
 ROOT = 0
-START: State = (-1, ((ROOT, ()),))
 
 
 class Transducer:
-    def __init__(self, merges: Merges, most: int = MOST):
+    def __init__(self, merges: Merges):
         self.merges = merges
         self._child: dict[int, int] = {}  # node << 8 | byte -> node
         self._token: list[int] = [-1]  # of a node's bytes
+        self._depth: list[int] = [0]
         self._begins: list[bool] = [True]  # whether a longer token begins with a node's bytes
         for token, number in merges.ranks.items():
             node = ROOT
-            for byte in token:
+            for depth, byte in enumerate(token, 1):
                 self._begins[node] = True
                 following = self._child.setdefault(node << 8 | byte, len(self._token))
                 if following == len(self._token):
                     self._token.append(-1)
+                    self._depth.append(depth)
                     self._begins.append(False)
                 node = following
             self._token[node] = number
-        self._most = most
-        self._ids: dict[State, int] = {}
-        self._states: list[State] = []
-        self._arcs: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self._number(START)
+        self._states: list[tuple[int, ...]] = [(ROOT,)]  # live starts, the oldest first
+        self._ids = {(ROOT,): 0}
+        self._arcs: dict[int, tuple[int, tuple[tuple[int, int], ...]]] = {}
 
     def __len__(self) -> int:
         return len(self._states)
 
-    def _number(self, state: State) -> int:
-        found = self._ids.get(state)
-        if found is None:
-            found = self._ids[state] = len(self._states)
+    def _arc(self, number: int, byte: int) -> tuple[int, tuple[tuple[int, int], ...]]:
+        """Where a byte leads, and the tokens that can end at it with their lengths."""
+        nodes = [n for node in self._states[number] if (n := self._child.get(node << 8 | byte)) is not None]
+        ending = tuple((self._token[n], self._depth[n]) for n in nodes if self._token[n] >= 0)
+        state = (*(n for n in nodes if self._begins[n]), ROOT)
+        at = self._ids.setdefault(state, len(self._states))
+        if at == len(self._states):
             self._states.append(state)
-        return found
-
-    def _target(self, state: State, byte: int) -> tuple[State, tuple[int, ...]]:
-        """Where a byte leads, and the ids it decides."""
-        last, starts = state
-        ended, new = None, []
-        for node, pending in starts:
-            node = self._child.get(node << 8 | byte)
-            if node is None:
-                continue
-            if ended is None and (token := self._token[node]) >= 0 and self.merges.compatible(pending[-1] if pending else last, token):
-                ended = (*pending, token)
-            if self._begins[node]:
-                new.append((node, pending))
-        new.append((ROOT, ended))
-        agreed = 0
-        if all(pending for _, pending in new):
-            shortest = min((pending for _, pending in new), key=len)
-            agreed = next((i for i, x in enumerate(shortest) if any(p[i] != x for _, p in new)), len(shortest))
-        if not agreed:
-            return (last, tuple(new)), ()
-        return (shortest[agreed - 1], tuple((node, pending[agreed:]) for node, pending in new)), shortest[:agreed]
-
-    def _arc(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        state, emitted = self._target(self._states[number], byte)
-        if len(self._states) >= self._most:  # begin again; only the state gone to is needed
-            self._ids.clear()
-            self._states.clear()
-            self._arcs.clear()
-            self._number(START)
-            return self._number(state), emitted
-        arc = self._arcs[number << 8 | byte] = (self._number(state), emitted)
+        arc = self._arcs[number << 8 | byte] = at, ending
         return arc
 
+    def _back(self, last: list[int], at: int) -> list[int]:
+        """Ends of the tokens of the first ``at`` bytes, from there back to 0."""
+        ends = [at]
+        while at:
+            at -= len(self.merges.tokens[last[at]])
+            ends.append(at)
+        return ends
+
+    def _decided(self, last: list[int], state: int) -> int:
+        """How many bytes all live starts' segmentations share as whole tokens."""
+        here = len(last) - 1
+        chains = [set(self._back(last, here - self._depth[node])) for node in self._states[state]]
+        return max(set.intersection(*chains))
+
     def encode(self, word: bytes) -> list[int]:
         """The ids of a word (one match of the pre-tokenizer's pattern)."""
+        arcs, pairs = self._arcs, self.merges.known
         out: list[int] = []
-        at, arcs = 0, self._arcs
+        at, last, size = 0, [-1], 0  # last[i]: last token of the first i bytes that are not emitted
         for byte in word:
-            arc = arcs.get(at << 8 | byte) or self._arc(at, byte)
-            at = arc[0]
-            if arc[1]:
-                out += arc[1]
-        out += self._states[at][1][-1][1]
+            at, ending = arcs.get(at << 8 | byte) or self._arc(at, byte)
+            size += 1
+            for token, length in ending:
+                before = last[size - length]
+                fits = pairs.get((before + 1) << 32 | token)
+                if fits is None:
+                    fits = self.merges.compatible(before, token)
+                if fits:
+                    break
+            last.append(token)
+            if size % LOOK == 0 and (decided := self._decided(last, at)):
+                out += [last[e] for e in reversed(self._back(last, decided)[:-1])]
+                last, size = last[decided:], size - decided
+        out += [last[e] for e in reversed(self._back(last, size)[:-1])]
         if len(out) > 1 and (whole := self.merges.ranks.get(word)) is not None:
             return [whole]  # a token that its own merges do not reach stands for the whole word only
         return out

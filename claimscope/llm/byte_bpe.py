@@ -15,7 +15,9 @@ rows and ids stay; columns other than ``doc_id`` and the one read are dropped.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -25,12 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimscope.llm import pretokens
-from claimscope.llm.bpe_transducer import Transducer, transducer
+from claimscope.llm.bpe_transducer import Transducer, read_ranks, transducer
 from claimscope.llm.shared import rows_of
 
 PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 #: Bytes of text taken at once; ids decoded at once.
-BATCH, IDS = 1 << 22, 1 << 16
+BATCH, IDS = 1 << 21, 1 << 16
 #: Words whose ids a worker keeps, and the longest of them.
 WORDS, LONG = 1 << 18, 64
 
@@ -176,25 +178,27 @@ class TokenBytes:
             raise ValueError("an id is not in the vocabulary")
         return self._bytes[ranges(self._first[ids], self.lengths[ids])].tobytes()
 
+    def decoded(self, ids: np.ndarray) -> tuple[bytes, str]:
+        """Bytes and text of ids, piece by piece."""
+        stream = Utf8Stream()
+        parts = [self(ids[at : at + IDS]) for at in range(0, len(ids), IDS)]
+        return b"".join(parts), "".join([*map(stream.feed, parts), stream.close()])
+
 
 _DECODED = "doc_id long, n_tokens long, ids binary, decoded binary, decoded_text string"
 
 
+@lru_cache(maxsize=2)
+def token_bytes_of(path: str) -> TokenBytes:
+    return TokenBytes({number: token for token, number in read_ranks(path).items()})
+
+
 def _decoding(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_bytes = TokenBytes(transducer(path).merges.tokens)
+        token_bytes = token_bytes_of(path)
         for rows in rows_of(batches, BATCH, "ids"):
-            data, texts = [], []
-            for blob in rows["ids"]:
-                if not blob.is_valid:
-                    data.append(None)
-                    texts.append(None)
-                    continue
-                ids = np.frombuffer(blob.as_buffer(), "<u4")
-                stream = Utf8Stream()
-                parts = [token_bytes(ids[at : at + IDS]) for at in range(0, len(ids), IDS)]
-                texts.append("".join([*map(stream.feed, parts), stream.close()]))
-                data.append(b"".join(parts))
+            pairs = [token_bytes.decoded(np.frombuffer(x.as_buffer(), "<u4")) if x.is_valid else (None, None) for x in rows["ids"]]
+            data, texts = zip(*pairs, strict=True)
             yield pa.RecordBatch.from_arrays([*(pa.concat_arrays(rows[c].chunks) for c in ("doc_id", "n_tokens", "ids")), pa.array(data, pa.binary()), pa.array(texts, pa.string())], names=[c.split()[0] for c in _DECODED.split(", ")])
 
     return run
@@ -205,7 +209,25 @@ def decode(encoded: DataFrame, path: str = PATH) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(_decoding(path), _DECODED)
 
 
+_DIGEST = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, decoded_chars long"
+
+
+def _round_trip(path: str, table: bytes):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word_ids, token_bytes = WordIds(transducer(path), table), token_bytes_of(path)
+        for rows in rows_of(batches, BATCH):
+            ids, at = word_ids(*texts_of(rows["text"]))
+            out = []
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                data, text = token_bytes.decoded(ids[a:b])
+                out.append((hashlib.sha256(ids[a:b].tobytes()).hexdigest(), hashlib.sha256(data).hexdigest(), len(text)))
+            of_ids, of_bytes, chars = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays(rows["doc_id"].chunks), pa.array(np.diff(at)), pa.array(of_ids), pa.array(of_bytes), pa.array(chars, pa.int64())], names=[c.split()[0] for c in _DIGEST.split(", ")])
+
+    return run
+
+
 def round_trip_digest(docs: DataFrame, path: str = PATH) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256, and whether the text came back."""
-    rows = decode(encode(docs, path), path)
-    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), F.length("decoded_text").cast("long").alias("decoded_chars"))
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 and decoded_chars: every text
+    encoded and its ids decoded, in one pass."""
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_round_trip(path, pretokens.class_table()), _DIGEST)
