@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from claimscope.llm import byte_bpe, chat, jaccard_join, licenses, mixing, packing, quality, shards, spotsigs, substring_dedup, topk
+from claimscope.llm import alignment, byte_bpe, chat, jaccard_join, licenses, mixing, packing, quality, shards, spotsigs, substring_dedup, topk, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,14 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitening_report(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_digest(_table(spark, sf_dir, "documents"))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digest(_table(spark, sf_dir, "documents"))
 
@@ -73,6 +81,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chat_format,
         op9_topk,
         op10_mix,
+        op11_whitening,
+        op12_alignment,
         op13_byte_bpe,
     )
 }

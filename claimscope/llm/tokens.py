@@ -56,3 +56,15 @@ class Encoder:
         ids = array("H", encode(text))
         ids.append(END)
         return np.frombuffer(ids, dtype=np.uint16)
+
+
+def vocabulary(path: str = PATH) -> list[bytes]:
+    """The bytes of every id (of an added token: its string's)."""
+    whole, _ = _encodings(path)
+    return [whole.decode_single_token_bytes(i) for i in range(whole.max_token_value + 1)]
+
+
+def plain_encoder(path: str = PATH):
+    """A text to its ids, strings of added tokens being plain text."""
+    whole, lone = _encodings(path)
+    return lambda text: (whole if _RUN.search(text) else lone).encode_ordinary(text)
