@@ -51,7 +51,7 @@ class SideA:
         self._encode = tokens.plain_encoder(path)
         self.bytes = tokens.vocabulary(path)
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
         return [self._encode(" " + t) for t in texts]
 
 
@@ -61,44 +61,62 @@ class SideB:
         pieces = map(self._model.id_to_piece, range(self._model.get_piece_size()))
         self.bytes = [bytes([int(p[3:5], 16)]) if len(p) == 6 and p.startswith("<0x") and p.endswith(">") else p.replace(_MARK, " ").encode() for p in pieces]
 
-    def __call__(self, texts: list[str]) -> list[list[int]]:
-        return self._model.encode(texts, num_threads=1)
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(ids, np.int64) for ids in self._model.encode(texts, num_threads=1)]
+
+
+class Widths:
+    """The bytes of a vocabulary's ids, end to end."""
+
+    def __init__(self, table: list[bytes]):
+        self.of = np.array(list(map(len, table)), np.int64)
+        self._first = np.cumsum(self.of) - self.of
+        self._bytes = np.frombuffer(b"".join(table), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        widths = self.of[ids]
+        ends = np.cumsum(widths)
+        return self._bytes[np.repeat(self._first[ids] - ends + widths, widths) + np.arange(ends[-1] if len(ends) else 0)].tobytes()
 
 
 @lru_cache(maxsize=1)
-def _sides(path_a: str, path_b: str) -> tuple[SideA, SideB, np.ndarray, np.ndarray]:
+def _sides(path_a: str, path_b: str) -> tuple[SideA, SideB, Widths, Widths]:
     a, b = SideA(path_a), SideB(path_b)
-    return a, b, np.array(list(map(len, a.bytes)), np.int64), np.array(list(map(len, b.bytes)), np.int64)
+    return a, b, Widths(a.bytes), Widths(b.bytes)
 
 
 def most_pairs(path_a: str = PATH_A, path_b: str = PATH_B) -> int:
     """No more id pairs than this can be linked: one's bytes are a suffix of the other's."""
-    return sum(int(x.sum()) for x in _sides(path_a, path_b)[2:])
+    return sum(int(x.of.sum()) for x in _sides(path_a, path_b)[2:])
 
 
-def _frame(ids: list[list[int]], widths: np.ndarray) -> pd.DataFrame:
-    """Tokens of the texts, in order: text, id, start and end byte in it."""
+def _frame(ids: list[np.ndarray], widths: np.ndarray) -> pd.DataFrame:
+    """Tokens of the texts, in order: text, id, start and end byte (over all texts, end to end)."""
     counts = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((i for x in ids for i in x), np.int64, int(counts.sum()))
+    flat = np.concatenate([*ids, np.zeros(0, np.int64)]).astype(np.int64)
     ends = np.cumsum(widths[flat])
-    before = np.concatenate([[0], ends])[np.cumsum(counts) - counts]
-    ends -= np.repeat(before, counts)
     return pd.DataFrame({"text": np.repeat(np.arange(len(ids)), counts), "id": flat, "start": ends - widths[flat], "end": ends, "token": np.arange(len(flat))})
 
 
-def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-    """All pairs (a's token, b's token) whose ranges overlap, and where each ends."""
+def _covering(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """For each token of one side the other side's that covers its start, in the same text."""
+    other = right[["start", "text", "end", "token"]].rename(columns={"end": "other_end", "token": "other"})
+    other["other_start"] = other["start"]
+    return pd.merge_asof(left[["start", "text", "end", "token"]], other, on="start", by="text")
 
-    def covering(left: pd.DataFrame, right: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
-        # of one text, in one long order: starts of different texts never meet, since texts are the key
-        found = pd.merge_asof(left.sort_values("start", kind="stable"), right.sort_values("start", kind="stable"), on="start", by="text", suffixes=("", "_other"))
-        return found[["token", "end"]], found[["token_other", "end_other"]].astype(np.int64)
 
-    own, other = covering(a, b)
-    ab = pd.DataFrame({"a": own["token"], "a_end": own["end"], "b": other["token_other"], "b_end": other["end_other"]})
-    own, other = covering(b, a)
-    ba = pd.DataFrame({"a": other["token_other"], "a_end": other["end_other"], "b": own["token"], "b_end": own["end"]})
-    return pd.concat([ab, ba]).drop_duplicates(["a", "b"]).sort_values(["a", "b"], ignore_index=True)
+def _pairs(a: pd.DataFrame, b: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """All pairs that overlap, once each: a's token, b's token, a's end, b's end."""
+    ab, ba = _covering(a, b), _covering(b, a)
+    ba = ba[ba["start"].to_numpy() != ba["other_start"].to_numpy()]  # those that start together are in ab
+    both = (("token", "other"), ("other", "token"), ("end", "other_end"), ("other_end", "end"))
+    return tuple(np.concatenate([ab[x].to_numpy(np.int64), ba[y].to_numpy(np.int64)]) for x, y in both)
+
+
+def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    """All pairs (a's token, b's token) whose ranges overlap, and where each ends; both sides in order of start."""
+    found = pd.DataFrame(dict(zip(("a", "b", "a_end", "b_end"), _pairs(a, b), strict=True)))
+    return found.sort_values(["a", "b"], ignore_index=True)
 
 
 def _joined(ids: np.ndarray, ends: np.ndarray, groups: int) -> pa.Array:
@@ -114,21 +132,22 @@ class Aligned:
         side_a, side_b, width_a, width_b = _sides(path_a, path_b)
         some = [t or "" for t in texts]
         ids_a, ids_b = side_a(some), side_b(some)
+        none = np.zeros(0, np.int64)
         for i, text in enumerate(some):
             whole = (" " + text).encode()
-            if not text or b"".join([side_a.bytes[x] for x in ids_a[i]]) != whole or b"".join([side_b.bytes[x] for x in ids_b[i]]) != whole:
-                ids_a[i], ids_b[i] = [], []
-        self.a, self.b = _frame(ids_a, width_a), _frame(ids_b, width_b)
+            if not text or width_a.joined(ids_a[i]) != whole or width_b.joined(ids_b[i]) != whole:
+                ids_a[i] = ids_b[i] = none
+        self.a, self.b = _frame(ids_a, width_a.of), _frame(ids_b, width_b.of)
         self.texts = len(texts)
-        self.overlaps = overlaps(self.a, self.b)
-        together = self.overlaps[self.overlaps["a_end"] == self.overlaps["b_end"]]
-        self.link_a, self.link_b = together["a"].to_numpy(), together["b"].to_numpy()
+        a, b, a_end, b_end = _pairs(self.a, self.b)
+        together = np.flatnonzero(a_end == b_end)
+        together = together[np.lexsort((b[together], a[together]))]
+        self.link_a, self.link_b, link_end = a[together], b[together], a_end[together]
+        self.link_text = self.a["text"].to_numpy()[self.link_a]
         # a group ends with the last tokens that end at its boundary
-        link_text, link_end = self.a["text"].to_numpy()[self.link_a], together["a_end"].to_numpy()
         last = np.ones(len(together), bool)
-        last[:-1] = (link_text[1:] != link_text[:-1]) | (link_end[1:] != link_end[:-1])
-        self.group_a, self.group_b, self.group_text = self.link_a[last], self.link_b[last], link_text[last]
-        self.link_text = link_text
+        last[:-1] = link_end[1:] != link_end[:-1]
+        self.group_a, self.group_b, self.group_text = self.link_a[last], self.link_b[last], self.link_text[last]
 
     def per_text(self, of: np.ndarray) -> np.ndarray:
         return np.bincount(of, minlength=self.texts)
@@ -180,19 +199,35 @@ def _pairs_of(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     return a.astype(np.int64), b.astype(np.int64)
 
 
+#: Links whose pairs are counted at once.
+LINKS = 1 << 19
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A task's linked pairs with their numbers: no more rows than there can be pairs."""
-    total: tuple[np.ndarray, np.ndarray] = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    none = np.zeros(0, np.int64)
+    keys, total, held, size = none, none, [], 0
+
+    def merge() -> None:
+        nonlocal keys, total, held, size
+        pairs = np.concatenate([keys, *held])
+        weights = np.concatenate([total, np.ones(size, np.int64)])
+        order = np.argsort(pairs, kind="stable")
+        pairs = pairs[order]
+        first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else none
+        keys, total = pairs[first], np.add.reduceat(weights[order], first) if len(first) else none
+        held, size = [], 0
+
     for batch in batches:
-        blobs = [x for x in batch.column(0).to_pylist() if x is not None]
-        if blobs:
-            keys = np.concatenate([total[0], *(a << 32 | b for a, b in map(_pairs_of, blobs))])
-            weights = np.concatenate([total[1], np.ones(len(keys) - len(total[0]), np.int64)])
-            distinct, at = np.unique(keys, return_inverse=True)
-            sums = np.zeros(len(distinct), np.int64)
-            np.add.at(sums, at, weights)
-            total = distinct, sums
-    yield pa.RecordBatch.from_arrays([pa.array(total[0] >> 32), pa.array(total[0] & 0xFFFFFFFF), pa.array(total[1])], names=["a", "b", "n"])
+        for blob in batch.column(0):
+            if blob.is_valid:
+                a, b = _pairs_of(blob.as_buffer())
+                held.append(a << 32 | b)
+                size += len(a)
+                if size >= LINKS:
+                    merge()
+    merge()
+    yield pa.RecordBatch.from_arrays([pa.array(keys >> 32), pa.array(keys & 0xFFFFFFFF), pa.array(total)], names=["a", "b", "n"])
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
@@ -211,8 +246,9 @@ def _scoring(counts):
         for batch in batches:
             rows = pa.Table.from_batches([batch])
             sums, bests = [], []
-            for blob in rows["links"].to_pylist():
-                at = np.searchsorted(keys, np.bitwise_or(*(x << s for x, s in zip(_pairs_of(blob), (32, 0), strict=True)))) if blob is not None else np.zeros(0, np.int64)
+            for blob in batch.column(batch.schema.get_field_index("links")):
+                a, b = _pairs_of(blob.as_buffer()) if blob.is_valid else (np.zeros(0, np.int64),) * 2
+                at = np.searchsorted(keys, a << 32 | b)
                 sums.append(int(n[at].sum()))
                 bests.append(int(best[at].sum()))
             kept = {c: rows[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")}

@@ -65,6 +65,6 @@ def vocabulary(path: str = PATH) -> list[bytes]:
 
 
 def plain_encoder(path: str = PATH):
-    """A text to its ids, strings of added tokens being plain text."""
+    """A text to its ids (an array), strings of added tokens being plain text."""
     whole, lone = _encodings(path)
-    return lambda text: (whole if _RUN.search(text) else lone).encode_ordinary(text)
+    return lambda text: (whole if _RUN.search(text) else lone).encode_to_numpy(text, disallowed_special=())

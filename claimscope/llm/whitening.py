@@ -40,7 +40,9 @@ SCALE = 256
 COMPONENTS = 4
 #: Points of the upper half of the contour.
 POINTS = 8
-ROUNDS = 40
+ROUNDS = 100
+#: Steps of a bisection by inertia, and the gap (as part of the largest eigenvalue) that ends the search for a cut.
+STEPS, GAP = 16, 0.01
 #: Largest integer that a sum in a task may reach before it is handed on.
 _FULL = 1 << 62
 _EXACT = 1 << 53
@@ -159,35 +161,33 @@ def above(matrix: np.ndarray, shift: float) -> int:
     return positive
 
 
-def _cut(matrix: np.ndarray, wanted: int, floor: float, top: float) -> float:
-    """A number with at least ``wanted`` eigenvalues above it (all above the floor, if
-    fewer), in the widest gap that bisection finds below them."""
-    target = min(wanted, above(matrix, floor))
-    low, high = floor, top  # above(low) >= target > above(high)
-    for _ in range(60):
+def _bracket(matrix: np.ndarray, count: int, low: float, high: float, steps: int) -> tuple[float, float]:
+    """Around the eigenvalue that has ``count`` larger ones: above(low) > count >= above(high)."""
+    for _ in range(steps):
         middle = (low + high) / 2
-        if not low < middle < high:
-            break
-        low, high = (middle, high) if above(matrix, middle) >= target else (low, middle)
-    # ``high`` is the target-th eigenvalue to rounding; look below it for room
+        low, high = (middle, high) if above(matrix, middle) > count else (low, middle)
+    return low, high
+
+
+def _interval(matrix: np.ndarray, wanted: int, floor: float, bound: float) -> tuple[float, float]:
+    """An interval with the ``wanted`` largest eigenvalues (or all above the floor) whose
+    lower end lies in the widest gap found below them; the floor, if all is close."""
+    positive = above(matrix, floor)
+    top = _bracket(matrix, 0, floor, bound, STEPS)[1]
     best, room = floor, 0.0
-    bound = low
-    for _ in range(min(len(matrix), 2 * wanted + 8)):
-        count = above(matrix, bound)
-        under, over = floor, bound
-        if above(matrix, floor) <= count:
-            return floor if bound - floor >= room else best
-        for _ in range(60):  # the next eigenvalue below the bound
-            middle = (under + over) / 2
-            if not under < middle < over:
-                break
-            under, over = (middle, over) if above(matrix, middle) > count else (under, middle)
-        if bound - over > room:
-            best, room = (bound + over) / 2, bound - over
-        if room > 0.02 * bound:
-            break
-        bound = under
-    return best
+    count = min(wanted, positive)
+    here = _bracket(matrix, count - 1, floor, top, STEPS)[0]  # just below the last one wanted
+    while count < positive and count < 2 * wanted + 8 and room < GAP * top:
+        count = above(matrix, here)
+        under, over = (floor, floor) if count >= positive else _bracket(matrix, count, floor, here, STEPS)
+        if here - over > room:
+            best, room = (here + over) / 2, here - over
+        here = under
+    if count >= positive and here - floor > room:
+        best, room = floor, here - floor
+    if room < GAP * top / 16:  # too close to part: all of them
+        best = floor
+    return best, top + max(room / 2, 1e-3 * top)
 
 
 def _project(matrix: np.ndarray, block: np.ndarray, low: float, high: float) -> np.ndarray:
@@ -214,21 +214,23 @@ def leading(matrix: np.ndarray, wanted: int = COMPONENTS) -> Components:
     floor = 16 * size * np.finfo(float).eps * scale
     if not scale or not above(matrix, floor):
         return Components(np.zeros(0), np.zeros((size, 0)))
-    low, high = _cut(matrix, wanted, floor, 1.01 * scale), 1.01 * scale
+    low, high = _interval(matrix, wanted, floor, 1.01 * scale)
     count = above(matrix, low)
     block = np.random.default_rng(0).standard_normal((size, min(size, count + count // 2 + 4)))
-    best = np.inf
-    for _ in range(ROUNDS):
+    best, left = np.inf, ROUNDS
+    while True:
         basis = np.linalg.qr(_project(matrix, block, low, high))[0]
         values, turn = np.linalg.eigh(basis.T @ matrix @ basis)
         vectors = basis @ turn
         inside = values > low
-        residual = np.linalg.norm(matrix @ vectors[:, inside] - vectors[:, inside] * values[inside], axis=0).max(initial=np.inf if not inside.any() else 0)
-        if inside.sum() == count and (residual <= 4 * np.finfo(float).eps * scale or residual >= best and best <= 1e-12 * scale):
+        found = matrix @ vectors[:, inside] - vectors[:, inside] * values[inside]
+        residual = np.linalg.norm(found, axis=0).max() if inside.sum() == count else np.inf
+        if residual <= 8 * np.finfo(float).eps * scale or residual > best / 2 and best <= 1e-11 * scale:
             break
-        best, block = (min(best, residual) if inside.sum() == count else np.inf), vectors
-    else:
-        raise RuntimeError("the contour's components did not converge")
+        left -= 1
+        if not left:
+            raise RuntimeError("the contour's components did not converge")
+        best, block = min(best, residual), vectors
     if int(inside.sum()) != above(matrix, low):
         raise RuntimeError("the inertia count differs from the components found")
     order = np.argsort(-values[inside], kind="stable")[:wanted]
