@@ -6,6 +6,8 @@ from claimscope.operators.keys import duplicate_keys, orphan_counts
 from claimscope.operators.materialize import materialize
 from claimscope.operators.pick import first_by_priority
 from claimscope.operators.rank import percent_rank_desc
+from claimscope.operators.skew import hot_keys, salted_join
+from claimscope.operators.sweep import outside_points, repeated
 
 __all__ = [
     "covered_days",
@@ -13,9 +15,13 @@ __all__ = [
     "duplicate_keys",
     "first_by_priority",
     "fits_broadcast",
+    "hot_keys",
     "materialize",
     "orphan_counts",
+    "outside_points",
     "percent_rank_desc",
+    "repeated",
+    "salted_join",
     "salted_lookup",
     "sized_broadcast",
 ]

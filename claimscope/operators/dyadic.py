@@ -21,8 +21,6 @@ columns ``_lvl`` and ``_block``.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,25 +84,14 @@ def with_suffix_cover(df: DataFrame, x: Column) -> DataFrame:
     return with_cover(df, x, F.lit(TOP).cast("long"))
 
 
-def cover_level_bound(intervals: DataFrame, start: str, end: str) -> int:
-    """Highest block level any cover can use: floor(log2(longest interval in days)) (one small aggregate)."""
-    longest = (
-        intervals.where(F.col(end) >= F.col(start))
-        .agg(F.max(F.datediff(F.col(end), F.col(start)) + 1).alias("n"))
-        .first()["n"]
-    )
-    return 0 if not longest else min(LEVELS, int(math.floor(math.log2(longest))))
-
-
 def interval_point_pairs(
-    intervals: DataFrame, points: DataFrame, key: str, start: str, end: str, at: str, top: int | None = None
+    intervals: DataFrame, points: DataFrame, key: str, start: str, end: str, at: str
 ) -> DataFrame:
     """All (interval row, point row) pairs with equal ``key`` and ``start <= at <= end`` (DATE columns).
 
     Exactly one block matches per true pair, so nothing else is emitted.
-    Apart from ``key``, the two inputs must not share column names.  ``top``
-    (see :func:`cover_level_bound`) drops point ancestors above any cover.
+    Apart from ``key``, the two inputs must not share column names.
     """
     iv = with_cover(intervals, day_number(start), day_number(end))
-    pt = with_ancestors(points.where(F.col(at).isNotNull()), day_number(at), LEVELS if top is None else top)
+    pt = with_ancestors(points.where(F.col(at).isNotNull()), day_number(at))
     return iv.join(pt, [key, "_lvl", "_block"]).drop("_lvl", "_block")

@@ -1,11 +1,13 @@
 """Condition cohorts from diagnoses and drug fills.
 
-Join order for the diagnosis side starts from the flagged codes (a small,
-size-checked broadcast) so the bridge is cut down first; the undated bridge
-and line tables are reduced to key sets with semi-joins (no fan-out from
-several flagged diagnoses on one line), and only then meet the claim headers,
-whose window filter is pushed into the Parquet scan.  Member attributes are
-joined after the per-member aggregate, i.e. to one row per member.
+In a window, the diagnosis side starts from the claim headers, whose date filter
+is pushed into the scan: the undated lines meet in-window headers first, and
+only their lines meet the flagged rows of the bridge.  The headers' filter is
+selective, so Spark can send a Bloom filter of in-window claim ids down to the
+scan of the lines (``spark.sql.optimizer.runtime.bloomFilter.*`` set its sizes).
+At any date there is nothing to start from but the flagged codes (a small,
+size-checked broadcast): bridge and lines are reduced to key sets, then headers.
+Member attributes are joined after the per-member aggregate, i.e. to one row per member.
 """
 
 from __future__ import annotations
@@ -36,28 +38,26 @@ def flagged_ndcs(t: ClaimsTables, cond: Condition = P.DIABETES, with_class: bool
     return checked_broadcast(t, ("ndcs", cond.rx_flag, with_class), drugs)
 
 
-def dx_claim_ids(t: ClaimsTables, cond: Condition = P.DIABETES) -> DataFrame:
-    """Distinct claim_id with at least one line carrying a flagged diagnosis (any date)."""
-    lines = t.medical_claim_line_dx_bridge.join(flagged_dx_codes(t, cond), "icd10", "left_semi").select("claim_line_id")
-    # distinct on the join key: partial aggregate map-side, and the exchange it
-    # creates is the one the next join needs.
-    return t.medical_claim_line_fact.join(lines.distinct(), "claim_line_id", "left_semi").select("claim_id").distinct()
+def flagged_lines(t: ClaimsTables, cond: Condition = P.DIABETES) -> DataFrame:
+    """claim_line_id of every flagged diagnosis row (a line may repeat)."""
+    return t.medical_claim_line_dx_bridge.join(flagged_dx_codes(t, cond), "icd10", "left_semi").select("claim_line_id")
 
 
 def dx_claims(t: ClaimsTables, cond: Condition = P.DIABETES, w: MWindow | None = None) -> DataFrame:
-    """Claim headers (claim_id, member_id, service_from_dt) with a flagged diagnosis, optionally in window.
+    """(member_id, service_from_dt) of claims with a flagged diagnosis, at any date or in the window.
 
-    The undated bridge and line tables are the largest inputs, so the flagged
-    headers (any date) are built once per table set and shared: each job then
-    only filters the written table by date, and that filter reaches its scan.
+    In the window a claim comes once per flagged line; callers take minima or
+    distinct days, so it is not made distinct here.
     """
-
-    def build() -> DataFrame:
-        headers = t.medical_claim_fact.select("claim_id", "member_id", "service_from_dt")
-        return headers.join(dx_claim_ids(t, cond), "claim_id", "left_semi")
-
-    flagged = t.shared(("dx-claims", cond.dx_flag), build)
-    return flagged.where(in_window("service_from_dt", w)) if w is not None else flagged
+    headers = t.medical_claim_fact.select("claim_id", "member_id", "service_from_dt")
+    lines = t.medical_claim_line_fact.select("claim_id", "claim_line_id")
+    if w is not None:
+        in_time = lines.join(headers.where(in_window("service_from_dt", w)), "claim_id")
+        return in_time.join(flagged_lines(t, cond), "claim_line_id", "left_semi").select("member_id", "service_from_dt")
+    # distinct on the join key: partial aggregate map-side, and the exchange it
+    # creates is the one the next join needs
+    flagged = lines.join(flagged_lines(t, cond).distinct(), "claim_line_id", "left_semi").select("claim_id").distinct()
+    return headers.join(flagged, "claim_id", "left_semi").select("member_id", "service_from_dt")
 
 
 def rx_fills(t: ClaimsTables, cond: Condition = P.DIABETES, w: MWindow | None = None) -> DataFrame:

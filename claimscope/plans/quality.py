@@ -2,15 +2,15 @@
 
 Detail reports list offending rows; the dashboard counts six of them (it
 leaves out the per-span report, and its labels differ from the detail
-reports' on purpose).  All checks read whole tables.
-
-Claims and spans meet on member_id.  While every member has few spans (a
-bound measured once per table set), the span range is a residual condition
-on that equi-join.  Beyond it, the checks switch to an exact block join on
-(member, level, block) (``operators.dyadic``), so no claim or span is
-compared with all spans of a wide member.  The per-span report is an
-equi-join whose output is (claim, span) pairs by definition; AQE's skew-join
-handling splits a hot member's claim side across tasks.
+reports' on purpose).  All checks read whole tables, and none measures them
+while its plan is built.
+
+Claims and spans meet on member_id.  Claims without coverage come from one sweep
+over each member's days (``operators.sweep``).  The per-span report joins claims and spans,
+members with many claims spread by frequency (``operators.skew``).  Span pairs are
+found member by member: one with few spans compares them, one with many goes
+through an exact block join (``operators.dyadic``); the plan itself counts spans
+and sends each member its way, so a wide member changes nothing for the others.
 """
 
 from __future__ import annotations
@@ -19,9 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimscope import params as P
-from claimscope.operators import duplicate_keys
+from claimscope.operators import duplicate_keys, outside_points, repeated, salted_join
 from claimscope.operators.dyadic import (
-    cover_level_bound,
     day_number,
     interval_point_pairs,
     with_ancestors,
@@ -30,80 +29,44 @@ from claimscope.operators.dyadic import (
 )
 from claimscope.sources.tables import ClaimsTables
 
-# Above this many spans for one member, comparing a member's spans (or a claim
-# with all of them) one by one is replaced by the block join: the same rows,
-# found without the comparisons.
+# A member with more spans than this is sent through the block join, which finds
+# the same pairs without comparing all of them.
 PAIRWISE_MAX_SPANS = 128
 
 
-def _covered_by_span(claims: DataFrame, elig: DataFrame):
-    return (claims["member_id"] == elig["member_id"]) & claims["service_from_dt"].between(
-        elig["cov_start_dt"], elig["cov_end_dt"]
-    )
-
-
 def _spans(t: ClaimsTables) -> DataFrame:
     return t.eligibility_fact.select("eligibility_id", "member_id", "cov_start_dt", "cov_end_dt")
 
 
-def _widest_member(t: ClaimsTables) -> int:
-    """Most spans any one member has (one aggregate, partial per task; measured once per table set)."""
-
-    def measure() -> int:
-        per_member = t.eligibility_fact.groupBy("member_id").agg(F.count(F.lit(1)).alias("n"))
-        return per_member.agg(F.max("n").alias("n")).first()["n"] or 0
-
-    return t.memo(("widest-member",), measure)
+def _uncovered_groups(t: ClaimsTables) -> DataFrame:
+    """member_id, service_from_dt, claim_type and number (n_claims) of claims in no span of their member."""
+    claims = t.medical_claim_fact.select("member_id", "service_from_dt", "claim_type")
+    return outside_points(claims, _spans(t), "member_id", "service_from_dt", "cov_start_dt", "cov_end_dt", ["claim_type"], "n_claims")
 
 
-def _level_bound(t: ClaimsTables) -> int:
-    return t.memo(("span-level-bound",), lambda: cover_level_bound(t.eligibility_fact, "cov_start_dt", "cov_end_dt"))
-
-
-def missing_eligibility(t: ClaimsTables, pairwise_max: int | None = None) -> DataFrame:
+def missing_eligibility(t: ClaimsTables) -> DataFrame:
     """Claims whose service date lies in no coverage span of their member.
 
-    Narrow members (at most ``pairwise_max`` spans, measured): an anti-join
-    on member_id with the BETWEEN as residual.  Otherwise the distinct
-    (member, service date) points — at most one per member and day — are
-    matched to span covers by the exact block join, and claims are anti-joined
-    on the covered (member, date) pairs; no claim is compared with all spans.
+    One sweep for all members; equal claims travel as one row with their
+    number and come apart again at the end.
     """
-    claims = t.medical_claim_fact.select("member_id", "service_from_dt", "claim_type").alias("cl")
-    spans = _spans(t)
-    limit = PAIRWISE_MAX_SPANS if pairwise_max is None else pairwise_max
-    if _widest_member(t) <= limit:
-        elig = spans.alias("e")
-        missing = claims.join(elig, _covered_by_span(claims, elig), "left_anti")
-    else:
-        days = t.medical_claim_fact.select("member_id", "service_from_dt").where(
-            F.col("member_id").isNotNull() & F.col("service_from_dt").isNotNull()
-        ).distinct()
-        level = _level_bound(t)
-        covered = interval_point_pairs(
-            spans.select("member_id", "cov_start_dt", "cov_end_dt"), days, "member_id", "cov_start_dt", "cov_end_dt", "service_from_dt", level
-        ).select("member_id", "service_from_dt").distinct()
-        missing = claims.join(covered, ["member_id", "service_from_dt"], "left_anti")
-    return missing.select(F.lit(P.CHECK_MISSING_ELIGIBILITY).alias("check_name"), "member_id", "service_from_dt", "claim_type")
-
-
-def service_outside_span(t: ClaimsTables) -> DataFrame:
+    return repeated(_uncovered_groups(t), "n_claims").select(F.lit(P.CHECK_MISSING_ELIGIBILITY).alias("check_name"), "member_id", "service_from_dt", "claim_type")
+
+
+def service_outside_span(t: ClaimsTables, **skew_options) -> DataFrame:
     """One row per (claim, span of its member) where the service date is outside that span.
 
     The original is a LEFT JOIN whose WHERE rejects the NULL span, i.e. an
-    inner join; written as one so the planner need not prove it.
+    inner join; written as one so the planner need not prove it.  Claims of a
+    member with a large share of them are dealt over as many tasks as the
+    share asks for, the member's spans repeated in each.
     """
-    claims = t.medical_claim_fact.select("member_id", "service_from_dt", "paid_amt").alias("cl")
-    elig = _spans(t).alias("e")
-    outside = (claims["service_from_dt"] < elig["cov_start_dt"]) | (claims["service_from_dt"] > elig["cov_end_dt"])
-    return claims.join(elig, (claims["member_id"] == elig["member_id"]) & outside, "inner").select(
-        F.lit(P.CHECK_SERVICE_OUTSIDE).alias("check_name"),
-        claims["member_id"],
-        claims["service_from_dt"],
-        elig["cov_start_dt"],
-        elig["cov_end_dt"],
-        claims["paid_amt"],
-    )
+    claims = t.medical_claim_fact.select("claim_id", "member_id", "service_from_dt", "paid_amt")
+    elig = t.eligibility_fact.select("member_id", "cov_start_dt", "cov_end_dt")
+    pairs = salted_join(claims, elig, "member_id", salt_from=["claim_id", "service_from_dt", "paid_amt"], **skew_options)
+    day = F.col("service_from_dt")
+    outside = (day < F.col("cov_start_dt")) | (day > F.col("cov_end_dt"))
+    return pairs.where(outside).select(F.lit(P.CHECK_SERVICE_OUTSIDE).alias("check_name"), "member_id", "service_from_dt", "cov_start_dt", "cov_end_dt", "paid_amt")
 
 
 def nonpositive_paid(t: ClaimsTables) -> DataFrame:
@@ -163,14 +126,14 @@ def _as_pair(df: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
-def _covering_pairs(spans: DataFrame, level: int) -> DataFrame:
+def _covering_pairs(spans: DataFrame) -> DataFrame:
     """Pairs where one span contains the other's start day: exact, via a block join (no all-pairs step).
 
     With x containing y's start: (a=x, b=y) when x has the lower id; otherwise,
     when x starts strictly earlier, (a=y, b=x) — y has the lower id and runs
     from after x's start, so a.end >= b.start holds once y's own end is checked.
     """
-    hits = interval_point_pairs(_side(spans, "x"), _side(spans, "y"), "member_id", "x_cov_start_dt", "x_cov_end_dt", "y_cov_start_dt", level)
+    hits = interval_point_pairs(_side(spans, "x"), _side(spans, "y"), "member_id", "x_cov_start_dt", "x_cov_end_dt", "y_cov_start_dt")
     x_id, y_id = F.col("x_eligibility_id"), F.col("y_eligibility_id")
     lower_x = _as_pair(hits.where(x_id < y_id), "x", "y")
     lower_y = _as_pair(
@@ -234,8 +197,7 @@ def _null_bound_pairs(spans: DataFrame) -> DataFrame:
 def _pairwise(spans: DataFrame, strict: bool) -> DataFrame:
     """The test as written: self-join on member_id with the id / date comparison as residual.
 
-    Used only when every member has at most PAIRWISE_MAX_SPANS spans, so each
-    member's comparisons are bounded (a checked bound, see ``_span_pairs``).
+    Only for members of few spans, so each member's comparisons are bounded.
     """
     cond = (F.col("a_eligibility_id") < F.col("b_eligibility_id")) & (F.col("a_cov_end_dt") >= F.col("b_cov_start_dt"))
     if strict:
@@ -246,19 +208,20 @@ def _pairwise(spans: DataFrame, strict: bool) -> DataFrame:
 def _span_pairs(t: ClaimsTables, strict: bool, pairwise_max: int = PAIRWISE_MAX_SPANS) -> DataFrame:
     """Span pairs of one member with a.id < b.id and a.end >= b.start (and b.end >= a.start if strict).
 
-    When the widest member (measured by one aggregate) has at most
-    ``pairwise_max`` spans, a member's spans are compared pairwise.  Otherwise
-    every qualifying pair is found without comparing all of them: it either
-    has one span containing the other's start day (exact block join) or — in
+    Spans are counted per member in the plan.  Members of at most
+    ``pairwise_max`` spans compare theirs; of the others every qualifying pair
+    either has one span containing the other's start day (exact block join) or — in
     the one-sided test only — has b lying wholly before a, or a NULL bound.
+    Spans without a member pair with nothing and are left out first.
     """
-    spans = _spans(t)
-    if _widest_member(t) <= pairwise_max:
-        return _pairwise(spans, strict)
-    covering = _covering_pairs(spans, _level_bound(t))
+    spans = _spans(t).where(F.col("member_id").isNotNull())
+    wide_members = spans.groupBy("member_id").agg(F.count(F.lit(1)).alias("_spans")).where(F.col("_spans") > pairwise_max).select("member_id")
+    narrow = spans.join(wide_members, "member_id", "left_anti")
+    wide = spans.join(wide_members, "member_id", "left_semi")
+    covering = _covering_pairs(wide)
     if strict:
-        return covering.where(F.col("b_cov_end_dt") >= F.col("a_cov_start_dt"))
-    return covering.unionByName(_inverted_pairs(spans)).unionByName(_null_bound_pairs(spans))
+        return _pairwise(narrow, strict).unionByName(covering.where(F.col("b_cov_end_dt") >= F.col("a_cov_start_dt")))
+    return _pairwise(narrow, strict).unionByName(covering).unionByName(_inverted_pairs(wide)).unionByName(_null_bound_pairs(wide))
 
 
 def overlapping_spans(t: ClaimsTables, strict: bool = False, pairwise_max: int = PAIRWISE_MAX_SPANS) -> DataFrame:
@@ -304,7 +267,7 @@ def dq_dashboard(t: ClaimsTables) -> DataFrame:
     """Six global counts → check_name, failed_count, status (PASS when 0)."""
     claims = t.medical_claim_fact
     parts = [
-        _count(P.DASH_MISSING_ELIGIBILITY, missing_eligibility(t)),
+        _uncovered_groups(t).agg(F.coalesce(F.sum("n_claims"), F.lit(0)).cast("bigint").alias("failed_count")).select(F.lit(P.DASH_MISSING_ELIGIBILITY).alias("check_name"), "failed_count"),
         _count(P.DASH_NEGATIVE_PAID, claims.where(F.col("paid_amt") <= 0)),
         _count(P.DASH_DUPLICATE_CLAIMS, duplicate_keys(claims.select("claim_id"), ["claim_id"])),
         _count(P.DASH_INVALID_DAYS_SUPPLY, invalid_days_supply(t)),

@@ -24,14 +24,7 @@ from claimscope.sources.tables import ClaimsTables
 
 
 def master_summary(t: ClaimsTables, w: Window = P.DEFAULT_WINDOW, cond: Condition = P.DIABETES, **rank_options) -> DataFrame:
-    """The member summary; built once per table set, window and condition, then shared (e.g. by risk_segments)."""
-    if rank_options:  # tuning of the rank path: build directly
-        return _build_master(t, w, cond, **rank_options)
-    key = ("master", w.start.isoformat(), w.end.isoformat(), w.age_asof.isoformat(), cond.dx_flag, cond.rx_flag)
-    return t.shared(key, lambda: _build_master(t, w, cond))
-
-
-def _build_master(t: ClaimsTables, w: Window, cond: Condition, **rank_options) -> DataFrame:
+    """The member summary, as one plan; a caller that needs it twice writes it once itself."""
     # the inner join with member_dim below already keeps only known members
     cohort = combined_cohort(t, w, cond, require_member=False).select("member_id", "index_dt", "cohort_reason")
     members = t.member_dim.select("member_id", "sex", "state", "dob")

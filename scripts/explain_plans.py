@@ -44,7 +44,7 @@ def main(argv: list[str]) -> None:
 
     # the member summary is shared once built; explain the plan that builds it
     jobs = dict(registry.JOBS)
-    jobs["master_summary"] = lambda spark, t: summary.master_summary(t, WINDOW, single_task_rows=SINGLE_TASK_ROWS)
+    jobs["master_summary"] = lambda spark, t: summary.master_summary(t, WINDOW)
 
     rows, plans = [], []
     for key, job in jobs.items():

@@ -90,8 +90,8 @@ def test_percent_rank_paths_equal_window_rank(spark):
     want = rows(_ranked_by_window(df, "total").select("member_id", F.col("pr")))
     single = percent_rank_desc(df, "total", "pr")
     assert rows(single.select("member_id", "pr")) == want
-    # range-tagged path (checkpointed tags) with a salted join back
-    ranged = percent_rank_desc(df, "total", "pr", single_task_rows=5, rows_per_range=4, broadcast_rows=0)
+    # many levels of few ranges, hot values salted
+    ranged = percent_rank_desc(df, "total", "pr", digits=1, share=20)
     assert rows(ranged.select("member_id", "pr")) == want
 
 
@@ -100,14 +100,86 @@ def test_percent_rank_single_row_is_zero(spark):
     assert rows(percent_rank_desc(df, "total", "pr").select("pr")) == [(0.0,)]
 
 
-def test_range_path_plan_ranks_per_range(spark):
-    data = _random_totals(3, 50)
-    df = spark.createDataFrame(data, "member_id long, total double")
-    out = percent_rank_desc(df, "total", "pr", single_task_rows=5, rows_per_range=10, broadcast_rows=0)
+def test_percent_rank_of_decimals_and_integers(spark):
+    """Negative, huge and tied values of every level, at several level widths."""
+    from decimal import Decimal
+
+    rnd = random.Random(5)
+    pool = [None, Decimal("0.00"), Decimal("-0.01"), Decimal("-99999999999999999999.99"), Decimal("99999999999999999999.99"), Decimal("9999.99"), Decimal("10000.00"), Decimal("-10000.00")]
+    vals = pool + [rnd.choice(pool) for _ in range(40)] + [Decimal(rnd.randint(-(10**12), 10**12)).scaleb(-2) for _ in range(200)]
+    for schema, values in (("decimal(22,2)", vals), ("long", [None, -(2**63), 2**63 - 1, 0, -1, 1] + [rnd.randint(-50, 50) for _ in range(200)])):
+        df = spark.createDataFrame(list(enumerate(values)), f"member_id long, total {schema}")
+        want = rows(_ranked_by_window(df, "total").select("member_id", "pr"))
+        for digits in (1, 4, 6):
+            assert rows(percent_rank_desc(df, "total", "pr", digits=digits).select("member_id", "pr")) == want
+
+
+def test_rank_windows_are_bounded_and_nothing_runs_early(spark):
+    """Only the top level's few ranges meet in one task; building the plan starts no job."""
+    from decimal import Decimal
+
+    df = spark.createDataFrame([(i, Decimal(i * 7919 % 1000)) for i in range(500)], "member_id long, total decimal(22,2)")
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = jobs()
+    out = percent_rank_desc(df, "total", "pr")
     plan = out._jdf.queryExecution().executedPlan().toString()
-    # values are ranked inside their range tag; only the per-tag offsets (one row per tag) meet in one task
-    assert "hashpartitioning(_tag" in plan
-    assert plan.count("SinglePartition") == 1
+    assert jobs() == before
+    assert "hashpartitioning(_v1" in plan and "hashpartitioning(_v2" in plan
+    single = [line for line in plan.splitlines() if "SinglePartition" in line]
+    assert single and out.count() == 500
+
+
+def test_hot_keys_are_few_and_spread(spark):
+    """A key with a third of the facts is dealt over many tasks; keys of small share are not."""
+    from claimscope.operators import hot_keys, salted_join
+
+    facts = spark.range(3000).select(F.col("id").alias("row"), F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"))
+    other = facts.select("k").distinct().withColumn("label", F.col("k") * 2).unionByName(spark.createDataFrame([(-1, 0), (None, 5)], "k long, label long"))
+    counts = facts.groupBy("k").agg(F.count(F.lit(1)).alias("_n"))
+    assert [(r["_hot"], r["_salts"]) for r in hot_keys(counts, "k", share=50, spread=30).collect()] == [(-1, 10)]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = salted_join(facts, other, "k", ["row"], spread=64)
+        hot = out.where("k = -1").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert rows(out.select("row", "k", "label")) == rows(facts.join(other, "k").select("row", "k", "label"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(hot) > 1 and max(r["count"] for r in hot) < 0.7 * sum(r["count"] for r in hot)
+
+
+def test_salted_join_null_safe_and_empty(spark):
+    from claimscope.operators import salted_join
+
+    facts = spark.createDataFrame([(i, None if i % 2 else 1) for i in range(40)], "row long, k long")
+    other = spark.createDataFrame([(1, "one"), (None, "none")], "k long, label string")
+    assert salted_join(facts, other, "k", ["row"], null_safe=True).count() == 40
+    assert salted_join(facts, other, "k", ["row"]).count() == 20
+    assert salted_join(facts.limit(0), other, "k", ["row"]).collect() == []
+
+
+def test_sweep_equals_brute_force(spark):
+    """Claims in no span: random, touching, nested, inverted and open spans, NULL bounds, days and keys."""
+    from claimscope.operators import outside_points, repeated
+
+    rnd = random.Random(9)
+    base = dt.date(2022, 1, 1)
+    day = lambda: None if rnd.random() < 0.05 else base + dt.timedelta(days=rnd.randint(0, 60))
+    spans = [(rnd.choice([1, 2, 3, None]), day(), day()) for _ in range(40)] + [(4, dt.date(1, 1, 1), dt.date(9999, 12, 31))]
+    points = [(rnd.choice([1, 2, 3, 4, 5, None]), day(), rnd.choice(["a", "b", None])) for _ in range(400)]
+    iv = spark.createDataFrame(spans, "k long, s date, e date")
+    pt = spark.createDataFrame(points, "k long, d date, kind string")
+    want = [p for p in points if not any(k is not None and k == p[0] and s and e and p[1] and s <= p[1] <= e for k, s, e in spans)]
+    got = repeated(outside_points(pt, iv, "k", "d", "s", "e", ["kind"]), "n_rows")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_repeated_rows_in_steps(spark):
+    from claimscope.operators import repeated
+
+    df = spark.createDataFrame([("a", 1), ("b", 1024), ("c", 1025), ("d", 5000)], "k string, n long")
+    assert rows(repeated(df, "n").groupBy("k").count()) == [("a", 1), ("b", 1024), ("c", 1025), ("d", 5000)]
 
 
 def test_first_by_priority(spark):

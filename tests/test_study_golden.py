@@ -170,5 +170,5 @@ def test_condition_members_include_any_time(study):
 def test_master_summary_same_through_the_range_partitioned_rank(study):
     """Forcing the rank's range-tagged path and salted join-back changes nothing."""
     default = rows(summary.master_summary(study, W))
-    ranged = rows(summary.master_summary(study, W, single_task_rows=2, rows_per_range=3, broadcast_rows=0))
+    ranged = rows(summary.master_summary(study, W, digits=1, share=2))
     assert ranged == default

@@ -211,7 +211,7 @@ def test_inverted_span_fails_like_sql(spark):  # N9: eligible_days = 0 is a divi
 
 
 def test_missing_eligibility_paths_agree(spark):
-    """Anti-join with BETWEEN (narrow members) and block join on distinct service days give the same claims."""
+    """The sweep, an anti-join with BETWEEN and brute force give the same claims."""
     import random
 
     rnd = random.Random(3)
@@ -227,10 +227,12 @@ def test_missing_eligibility_paths_agree(spark):
     claims.append({"claim_id": 9999, "member_id": None, "claim_type": "ER", "service_from_dt": d("2022-05-01")})
     claims.append({"claim_id": 9998, "member_id": 1, "claim_type": "ER", "service_from_dt": None})
     t = tables(spark, eligibility_fact=spans, medical_claim_fact=claims)
-    pairwise = [tuple(r) for r in quality.missing_eligibility(t, pairwise_max=10_000).collect()]
-    blocks = [tuple(r) for r in quality.missing_eligibility(t, pairwise_max=0).collect()]
+    swept = [tuple(r) for r in quality.missing_eligibility(t).collect()]
+    c_df, e_df = t.medical_claim_fact.alias("c"), t.eligibility_fact.alias("e")
+    inside = (F.col("c.member_id") == F.col("e.member_id")) & F.col("c.service_from_dt").between(F.col("e.cov_start_dt"), F.col("e.cov_end_dt"))
+    joined = [(quality.P.CHECK_MISSING_ELIGIBILITY, *r) for r in c_df.join(e_df, inside, "left_anti").select("member_id", "service_from_dt", "claim_type").collect()]
     key = lambda r: repr(r)
-    assert sorted(pairwise, key=key) == sorted(blocks, key=key)
+    assert sorted(swept, key=key) == sorted(joined, key=key)
     brute = []
     for c in claims:
         ok = any(
@@ -239,7 +241,7 @@ def test_missing_eligibility_paths_agree(spark):
         )
         if not ok:
             brute.append(("Missing Eligibility", c["member_id"], c["service_from_dt"], c["claim_type"]))
-    assert sorted(pairwise, key=key) == sorted(brute, key=key)
+    assert sorted(swept, key=key) == sorted(brute, key=key)
 
 
 def test_rx_only_member_without_claims(spark):
@@ -264,3 +266,22 @@ def test_rx_only_member_without_claims(spark):
     assert r["cost_bucket"] == "No Claims"
     assert (r["covered_days"], r["pdc"], r["adherence_status"]) == (300, Decimal("0.822"), "ADHERENT")
     assert r["clinical_risk_flag"] == P.RISK_STABLE
+
+
+def test_claims_of_a_hot_member_are_spread(spark):
+    """A member with a third of the claims is dealt over several tasks, with the same rows."""
+    spans = [{"eligibility_id": m, "member_id": m, "cov_start_dt": d("2022-01-01"), "cov_end_dt": d("2022-06-30")} for m in range(200)]
+    spans += [{"eligibility_id": 1000, "member_id": 7, "cov_start_dt": d("2022-09-01"), "cov_end_dt": d("2022-12-31")}]
+    claims = [{"claim_id": i, "member_id": 7 if i % 3 == 0 else i % 200, "service_from_dt": d("2022-08-01")} for i in range(1500)]
+    t = tables(spark, eligibility_fact=spans, medical_claim_fact=claims)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = quality.service_outside_span(t)
+        per_task = [r["count"] for r in out.where("member_id = 7").groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        want = [(c["member_id"], sp["cov_start_dt"]) for c in claims for sp in spans if sp["member_id"] == c["member_id"]]
+        assert sorted((r["member_id"], r["cov_start_dt"]) for r in out.collect()) == sorted(want)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(per_task) > 1 and max(per_task) < 0.7 * sum(per_task)
