@@ -10,14 +10,19 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from claimscope.session import ensure_checkpoint_dir
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder below the checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/claimscope-{label}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet under the checkpoint folder and return the read-back DataFrame."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/claimscope-{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)

@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimscope.operators.materialize import scratch_path
 from claimscope.plans import adherence, cohort, constraints, quality, risk, summary, utilization
-from claimscope.sources.tables import ClaimsTables, conform, table_counts
+from claimscope.sources.sinks import write_feed
+from claimscope.sources.tables import ClaimsTables, conform, load_tables, table_counts
 from claimscope.sources.testdata import WINDOW, raw_claims
 
 Job = Callable[[SparkSession, ClaimsTables], DataFrame]
@@ -33,6 +35,12 @@ def _ingest_defaults(spark: SparkSession, t: ClaimsTables) -> DataFrame:
     )
 
 
+def _load_tables(spark: SparkSession, t: ClaimsTables) -> DataFrame:
+    """The tables written once as the text feed they would arrive in, and loaded back by the declared schema."""
+    base = t.memo(("feed",), lambda: write_feed(t, scratch_path(spark, "feed")))
+    return table_counts(load_tables(spark, base, "csv"))
+
+
 JOBS: dict[str, Job] = {
     # cohorts
     "cohort_dx": lambda spark, t: cohort.dx_cohort_detail(t, WINDOW),
@@ -71,7 +79,7 @@ JOBS: dict[str, Job] = {
     "dq_not_null": lambda spark, t: constraints.not_null_report(t),
     "dq_conformance": lambda spark, t: constraints.conformance_report(t.raw),
     "ingest_defaults": _ingest_defaults,
-    "load_tables": lambda spark, t: table_counts(t),
+    "load_tables": _load_tables,
 }
 
 FLAGSHIP = "master_summary"

@@ -3,7 +3,7 @@
 from claimscope.sources.defaults import apply_defaults
 from claimscope.sources.layout import load_catalog_tables, save_bucketed
 from claimscope.sources.sinks import write_csv, write_parquet
-from claimscope.sources.tables import ClaimsTables, conform, from_frames, load_tables, read_table, table_counts
+from claimscope.sources.tables import ClaimsTables, conform, from_frames, load_tables, read_rejected, read_table, table_counts
 
 __all__ = [
     "ClaimsTables",
@@ -12,6 +12,7 @@ __all__ = [
     "from_frames",
     "load_catalog_tables",
     "load_tables",
+    "read_rejected",
     "read_table",
     "save_bucketed",
     "table_counts",

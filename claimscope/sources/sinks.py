@@ -6,6 +6,8 @@ partitioned by ``measurement_year`` so yearly reruns replace one partition.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).option("dateFormat", "yyyy-MM-dd").csv(path)
 
 
+def write_feed(tables: Mapping[str, DataFrame], base: str) -> str:
+    """Write every table as header CSV below ``base``, as a text feed would deliver it; returns ``base``."""
+    for name in tables:
+        write_csv(tables[name], f"{base.rstrip('/')}/{name}")
+    return base
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: str | None = "measurement_year", mode: str = "overwrite") -> None:
     """Write Parquet; partitions by ``partition_by`` when the column exists.
 

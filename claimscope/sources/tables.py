@@ -2,7 +2,9 @@
 
 ``load_tables`` reads Parquet (default) or CSV with a header from one folder,
 one sub-path per table (``<dir>/<table>`` or ``<dir>/<table>.parquet``).
-Every table goes through :func:`conform`: declared columns only, cast to the
+CSV and JSON are parsed by the declared schema, never inferred, and records that
+do not fit it are reported (:mod:`claimscope.sources.text_records`).
+Every other table goes through :func:`conform`: declared columns only, cast to the
 declared type, CHAR columns right-trimmed (a blank-padded ``'TX '`` must equal
 ``'TX'``), and columns absent from the input filled with their declared
 default (see :mod:`claimscope.sources.defaults`) or NULL.
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 
 from claimscope.schema import TABLE_NAMES, TABLES, Table
 from claimscope.sources.defaults import apply_defaults
+from claimscope.sources.text_records import TEXT_FORMATS, as_delivered, loaded, rejected, text_records
 
 
 class ClaimsTables(Mapping):
@@ -102,22 +105,35 @@ def _table_path(spark: SparkSession, base: str, name: str, fmt: str) -> str:
     return with_ext if _exists(spark, with_ext) else f"{base.rstrip('/')}/{name}"
 
 
-def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """One table as delivered.  CSV: header row names the columns, values stay text until conform."""
-    if fmt == "csv":
-        return spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+def read_raw(spark: SparkSession, path: str, table: Table | str, fmt: str = "parquet") -> DataFrame:
+    """One table as delivered.  Text formats: the declared columns, values still text."""
+    table = TABLES[table] if isinstance(table, str) else table
+    if fmt in TEXT_FORMATS:
+        return as_delivered(text_records(spark, path, table, fmt), table)
     return spark.read.format(fmt).load(path)
 
 
 def read_table(spark: SparkSession, path: str, table: Table | str, fmt: str = "parquet") -> DataFrame:
-    """Read one table and cast it to the declared schema (text → date/decimal/boolean for CSV)."""
-    return conform(read_raw(spark, path, fmt), table)
+    """Read one table in its declared schema.  Text records that do not fit it are left out (see ``read_rejected``)."""
+    table = TABLES[table] if isinstance(table, str) else table
+    if fmt in TEXT_FORMATS:
+        return loaded(text_records(spark, path, table, fmt), table)
+    return conform(spark.read.format(fmt).load(path), table)
+
+
+def read_rejected(spark: SparkSession, base: str, fmt: str) -> DataFrame:
+    """Text records of all tables below ``base`` that were not loaded: table_name, reason, record."""
+    parts = [rejected(text_records(spark, _table_path(spark, base, n, fmt), TABLES[n], fmt), TABLES[n]) for n in TABLE_NAMES]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def load_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> ClaimsTables:
     """Load all ten tables from ``base`` in format ``fmt`` (parquet, csv, orc, json)."""
-    raw = {n: read_raw(spark, _table_path(spark, base, n, fmt), fmt) for n in TABLE_NAMES}
-    return ClaimsTables({n: conform(raw[n], n) for n in TABLE_NAMES}, raw)
+    paths = {n: _table_path(spark, base, n, fmt) for n in TABLE_NAMES}
+    return ClaimsTables({n: read_table(spark, p, n, fmt) for n, p in paths.items()}, {n: read_raw(spark, p, n, fmt) for n, p in paths.items()})
 
 
 def from_frames(frames: Mapping[str, DataFrame]) -> ClaimsTables:
