@@ -1,14 +1,17 @@
 """Rabin-Karp hashes of words and word windows, vectorised over a batch.
 
 Words are maximal runs of bytes other than 0x20 and 0x09-0x0D, which is the
-same as ``[^\\x20\\x09-\\x0D]+`` over code points in UTF-8.  All hashes are
+same as ``[^\\x20\\x09-\\x0D]+`` over code points in UTF-8.  Hashes are
 64-bit polynomial (Rabin-Karp) sums modulo 2**64 with odd bases, each word
-mixed before windows are formed, so that windows of different words collide
-with a probability of about 2**-56 per compared pair or less.
+mixed before windows are formed.  Such sums can be made to collide by long
+self-similar sequences (of some thousand terms), so words beyond ``LONG_WORD`` bytes are
+hashed by BLAKE2b instead; windows are far shorter.  Different windows then
+collide with a probability of about 2**-56 per compared pair or less.
 """
 
 from __future__ import annotations
 
+import hashlib
 from typing import NamedTuple
 
 import numpy as np
@@ -23,6 +26,8 @@ LOWER[65:91] += 32
 
 #: Bytes hashed at once; longer buffers are taken in slices cut at white space.
 SLICE = 1 << 19
+#: Longer words are no polynomial sums.
+LONG_WORD = 128
 
 
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -70,7 +75,10 @@ def _slice_words(buf: np.ndarray, between: np.ndarray) -> tuple[np.ndarray, np.n
     starts, ends = edges[0::2], edges[1::2]
     sums = _sums(buf.astype(np.uint64) + np.uint64(1), BYTE_BASE)
     hashes = (sums[ends] - sums[starts]) * powers(BYTE_BASE, len(buf) + 1)[1][starts]
-    return mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), starts
+    hashes = mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+    for i in np.flatnonzero(ends - starts > LONG_WORD).tolist():
+        hashes[i] = int.from_bytes(hashlib.blake2b(buf[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return hashes, starts
 
 
 def words(texts: list[bytes], lower: bool = False, between: np.ndarray = IS_SPACE) -> Words:

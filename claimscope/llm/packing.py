@@ -5,7 +5,7 @@ its document).  Every map task packs what it reads, block by block: pieces in
 descending order go to the sequence of lowest cost that has room for them; a
 piece that fits nowhere whole fills the cheapest sequence with room and its
 rest goes on.  A block has just as many sequences as its tokens need, so at
-most one sequence of padding is lost for ``BLOCK_TOKENS`` tokens, and nothing
+most one sequence of padding is lost for ``BLOCK_TOKENS`` tokens (or ``BLOCK_ROWS`` documents), and nothing
 is shuffled.
 
 Documents longer than a sequence are first cut into whole sequences and a
@@ -32,6 +32,8 @@ CAPACITY = 2048
 LINEAR, QUADRATIC = 1.0, 1.0 / 4096
 #: Tokens that a task packs together, about 12 MB; the last block of a task is smaller.
 BLOCK_TOKENS = 6_000_000
+#: Documents of a block at most (short ones are few tokens, but rows all the same).
+BLOCK_ROWS = 200_000
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -72,7 +74,7 @@ def assign(lengths: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, int
     return out
 
 
-def _packed(path: str, capacity: int):
+def _packed(path: str, capacity: int, block_rows: int):
     def block(documents: list[tuple[int | None, np.ndarray]], first: int) -> tuple[pa.RecordBatch, int]:
         items = [(d, s) for d, (_, ids) in enumerate(documents) for s in range(0, len(ids), capacity)]
         lengths = np.array([min(capacity, len(documents[d][1]) - s) for d, s in items])
@@ -95,7 +97,7 @@ def _packed(path: str, capacity: int):
                 ids = encode(text.as_py())
                 held.append((doc_id, ids))
                 size += len(ids)
-                if size >= BLOCK_TOKENS:
+                if size >= BLOCK_TOKENS or len(held) >= block_rows:
                     out, following = block(held, following)
                     yield out
                     held, size = [], 0
@@ -105,6 +107,6 @@ def _packed(path: str, capacity: int):
     return run
 
 
-def pack(docs: DataFrame, path: str = tokens.PATH, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, path: str = tokens.PATH, capacity: int = CAPACITY, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_packed(path, capacity), SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_packed(path, capacity, block_rows), SCHEMA)

@@ -120,7 +120,7 @@ def _records(path: str, first: np.ndarray, key: str):
 
 def _plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([zstandard.decompress(x) for x in b.column(1).to_pylist()], pa.binary())], names=["shard", "record"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([zstandard.decompress(x) for x in b.column(2).to_pylist()], pa.binary())], names=["shard", "slot", "record"])
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str = tokens.PATH, key: str = KEY, records: int = RECORDS) -> int:
@@ -136,13 +136,14 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str = tokens.PATH, key:
         width = min(partitions(docs.sparkSession), files)
         # slots are known to fill range(total): ranges of equal length need no sampling, which would make all tokens once more
         rows = rows.repartitionById(width, F.floor(F.col("shard") * width / files).cast("int"))
-        rows = rows.sortWithinPartitions("shard", "slot").select("shard", "record")
-        rows = rows.mapInArrow(_plain, "shard long, record binary").select("shard", F.col("record").cast("string").alias("value"))
+        rows = rows.select("shard", "slot", "record").mapInArrow(_plain, "shard long, slot long, record binary")
+        # the last sort before the writer: it finds its shards in order and adds no sort of its own, which would lose the slots'
+        rows = rows.sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("value"))
         rows.write.partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(path)
     return total
 
 
-def _read(records: int):
+def _read(records: int, total: int | None, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for shard, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
@@ -157,6 +158,8 @@ def _read(records: int):
                     ids = np.frombuffer(view, "<u2", int(head[r]["tokens"]), r * STRIDE + HEADER.itemsize)
                     crc[r] = zlib.crc32(ids.astype("<u4").tobytes())
                 place = np.arange(n)
+                if total is not None and not np.array_equal(permuted(head["sequence"], total, key), shard * records + place):
+                    raise ValueError(f"shard {shard} has a record at a wrong slot")
                 yield pa.RecordBatch.from_pydict(
                     {
                         "slot": pa.array(shard * records + place),
@@ -174,16 +177,18 @@ def _read(records: int):
 _INDEX = "slot long, shard long, record long, sequence long, n_tokens long, ids_crc32 long"
 
 
-def shard_index(spark: SparkSession, path: str, records: int = RECORDS) -> DataFrame:
-    """What is in the shards below ``path``, read back: a row for each record."""
+def shard_index(spark: SparkSession, path: str, records: int = RECORDS, total: int | None = None, key: str = KEY) -> DataFrame:
+    """What is in the shards below ``path``, read back: a row for each record.
+    With ``total`` (all sequences) every record's slot is checked against the permutation."""
     files = spark.read.format("binaryFile").load(path).select(F.col("shard").cast("long").alias("shard"), "content")
-    return files.mapInArrow(_read(records), _INDEX)
+    return files.mapInArrow(_read(records, total, key), _INDEX)
 
 
 def materialised(docs: DataFrame) -> DataFrame:
     """Write ``docs`` to a fresh shared folder; the index of what was written."""
     spark = docs.sparkSession
     path = shared_path(spark, "shards")
-    if not write_shards(docs, path):
+    total = write_shards(docs, path)
+    if not total:
         return spark.createDataFrame([], _INDEX)
-    return shard_index(spark, path)
+    return shard_index(spark, path, total=total)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +30,34 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_RECORD: list[list[tuple[str, str]]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[tuple[str, str]]]:
+    """(name, path) of the tables that are stored meanwhile."""
+    _RECORD.append([])
+    try:
+        yield _RECORD[-1]
+    finally:
+        _RECORD.pop()
+
+
+def dropped(spark: SparkSession, made: list[tuple[str, str]], keep: tuple[str, ...] = ()) -> list[tuple[str, str]]:
+    """Delete stored tables that nothing will read again, but for names to keep; those kept."""
+    for name, path in made:
+        if name not in keep:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    return [x for x in made if x[0] in keep]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` once to the shared folder and read it back."""
     spark = df.sparkSession
     path = shared_path(spark, name)
+    for made in _RECORD:
+        made.append((name, path))
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

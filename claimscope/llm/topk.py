@@ -16,8 +16,8 @@ component takes no part.  Vectors of different lengths are compared over the
 terms that both have.  A null ``vec_id`` takes no part.  Rows that repeat a
 ``vec_id`` are separate candidates (a query leaves out all rows of its own
 id; its repeated rows give repeated answers, told apart by ``query_row``);
-ties go to the smaller id.  Other columns are unused.  Components beyond 2**31 in
-size are refused, since scores would not fit in 64 bits.
+ties go to the smaller id.  Other columns are unused.  Vectors whose
+squared length (of integers) reaches 2**62 are refused by an error, since scores might not fit in 64 bits.
 """
 
 from __future__ import annotations
@@ -45,7 +45,10 @@ def integer_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """(vec_id, vector array<long>) of the rows that take part."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("x")).where(F.col("vec_id").isNotNull() & (F.size("x") > 0))
     rows = rows.where(F.forall("x", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False))))
-    return rows.select("vec_id", F.transform("x", lambda x: F.floor(x * scale)).alias("vector"))
+    # a score is at most the product of two lengths, so it fits in 64 bits if every squared length does
+    square = F.aggregate("x", F.lit(0.0), lambda total, x: total + F.pow(F.floor(x * scale), 2))
+    refused = F.raise_error(F.lit("a vector is too long for 64-bit scores")).cast("array<bigint>")
+    return rows.select("vec_id", F.when(square < 2.0**62, F.transform("x", lambda x: F.floor(x * scale))).otherwise(refused).alias("vector"))
 
 
 class _Group:

@@ -111,3 +111,11 @@ def test_added_tokens_are_those_of_the_tokenizers_file(make_docs):
         assert encode(text).tolist() == [*t.encode(text, add_special_tokens=False).ids, END]
     rows = list(enumerate(ADDED))
     check(pack(make_docs(rows).coalesce(1)).collect(), rows, 2048)
+
+
+def test_many_short_documents_are_packed_in_blocks_of_rows(spark, make_docs):
+    """Blocks are bounded by rows too; every document stays whole and in one place."""
+    df = make_docs([(i, "" if i % 2 else "a b") for i in range(500)]).coalesce(1)
+    out = packing.pack(df, block_rows=60).collect()
+    assert sorted(r.doc_id for r in out) == list(range(500))
+    assert len({r.sequence_id for r in out}) == -(-500 // 60)

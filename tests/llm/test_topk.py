@@ -46,3 +46,8 @@ def test_few_rows_and_large_components(spark):
     assert got(search(spark.createDataFrame([(0, [1.0], 0, 1)], SCHEMA))) == []
     twice = [(20, [1.0], 0, 1), (20, [1.0], 0, 1), (3, [2.0], 0, 1)]
     assert got(search(spark.createDataFrame(twice, SCHEMA))) == [(20, 1, 3, 64 * 128)] * 2
+
+
+def test_vectors_too_long_for_scores_are_refused(spark):
+    with pytest.raises(Exception, match="too long for 64-bit scores"):
+        search(spark.createDataFrame([(0, [1e18], 0, 1), (1, [1.0], 0, 1)], SCHEMA)).collect()
