@@ -14,8 +14,8 @@ expands intervals into days.
    span adds ``end - max(start, prev + 1) + 1`` new days (or none).
 4. Sum per group.  The window and the sum share one hash partitioning.
 
-``covered_days_exploded`` is the literal form (one row per covered day,
-distinct, count) after the same per-start collapse; it is kept as a
+``covered_days_exploded`` is the literal form (one row per covered day, then a
+count) over merged islands, so every covered day is made once; it is kept as a
 cross-check.
 """
 
@@ -61,6 +61,29 @@ def covered_days(
     )
 
 
+def islands(
+    spans: DataFrame,
+    keys: Sequence[str],
+    start: str = "fill_start",
+    end: str = "fill_end",
+) -> DataFrame:
+    """(keys, start, end) of the maximal runs of covered days: gaps and islands.
+
+    Ordered by start, a span opens an island when it begins more than a day
+    after everything before it has ended; a running count of openings numbers the
+    islands.  Both windows and the last aggregate share one hash partitioning, and
+    a group holds at most one span per start day, as in :func:`covered_days`.
+    """
+    keys = list(keys)
+    longest = _valid(spans, start, end).groupBy(*keys, start).agg(F.max(end).alias(end)).repartition(*keys)
+    line = Window.partitionBy(*keys).orderBy(start)
+    before = F.max(end).over(line.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(F.col(start) <= F.date_add(before, 1), 0).otherwise(1)
+    numbered = longest.withColumn("_opens", opens).withColumn("_island", F.sum("_opens").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    runs = numbered.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end))
+    return runs.drop("_island")
+
+
 def covered_days_exploded(
     spans: DataFrame,
     keys: Sequence[str],
@@ -69,9 +92,6 @@ def covered_days_exploded(
     out: str = "covered_days",
 ) -> DataFrame:
     keys = list(keys)
-    # only the longest span from each start day matters: collapse before expanding into days
-    longest = _valid(spans, start, end).groupBy(*keys, start).agg(F.max(end).alias(end))
-    # hash the collapsed spans (at most one per start day per group) by the group keys, so the
-    # day rows are generated, de-duplicated and counted in the same task: they are never shuffled
-    days = longest.repartition(*keys).select(*keys, F.explode(F.sequence(F.col(start), F.col(end))).alias("_day"))
-    return days.distinct().groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
+    # islands of one group do not touch, so no day comes twice and none needs to be made distinct
+    days = islands(spans, keys, start, end).select(*keys, F.explode(F.sequence(F.col(start), F.col(end))).alias("_day"))
+    return days.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))

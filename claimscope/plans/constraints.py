@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimscope.operators import orphan_counts
+from claimscope.operators import orphan_report
 from claimscope.schema import TABLE_NAMES, TABLES
 from claimscope.sources.tables import ClaimsTables
 
@@ -59,21 +59,20 @@ def primary_key_report(t: ClaimsTables) -> DataFrame:
 
 
 def foreign_key_report(t: ClaimsTables) -> DataFrame:
-    """Per declared reference: child rows (non-NULL FK) and distinct FK values without a parent row."""
+    """Per declared reference: child rows (non-NULL FK) and distinct FK values without a parent row.
+
+    Each child table is read once, whatever the number of its references.
+    """
     parts = []
     for name in TABLE_NAMES:
-        for col, ref_table, ref_col in TABLES[name].foreign_keys:
-            counts = orphan_counts(t[name].select(col), col, t[ref_table], ref_col)
-            parts.append(
-                counts.select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(col).alias("column_name"),
-                    F.lit(ref_table).alias("ref_table"),
-                    F.lit(ref_col).alias("ref_column"),
-                    "orphan_rows",
-                    "orphan_keys",
-                )
-            )
+        references = TABLES[name].foreign_keys
+        if not references:
+            continue
+        child = t[name].select(*[col for col, _, _ in references])
+        counts = orphan_report(child, {col: (t[table], key) for col, table, key in references})
+        target = F.create_map(*[x for col, table, key in references for x in (F.lit(col), F.struct(F.lit(table).alias("ref_table"), F.lit(key).alias("ref_column")))])
+        of = target[F.col("fk_column")]
+        parts.append(counts.select(F.lit(name).alias("table_name"), F.col("fk_column").alias("column_name"), of["ref_table"].alias("ref_table"), of["ref_column"].alias("ref_column"), "orphan_rows", "orphan_keys"))
     return _union(parts)
 
 

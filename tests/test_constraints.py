@@ -66,3 +66,25 @@ def test_conformance_reads_raw_values(spark):
     assert got[("member_dim", "zip3", "CHAR(3)")] == 1
     assert got[("medical_claim_fact", "paid_amt", "NUMERIC(12,2)")] == 1  # 10.005 rounds, 1.2e11 overflows
     assert got[("medical_claim_fact", "load_batch_id", "INT")] == 0
+
+
+def test_each_child_is_scanned_once_for_all_references(spark, smoke_tables):
+    """Claims refer to members and to providers: one unpivoted pass over the claims, the same counts as one by one."""
+    from claimscope.operators import orphan_counts
+    from claimscope.plans.constraints import foreign_key_report
+    from claimscope.schema import TABLES
+
+    found = {(r["table_name"], r["column_name"]): (r["orphan_rows"], r["orphan_keys"]) for r in foreign_key_report(smoke_tables).collect()}
+    for name, table in TABLES.items():
+        for col, ref, key in table.foreign_keys:
+            assert found[name, col] == tuple(orphan_counts(smoke_tables[name].select(col), col, smoke_tables[ref], key).first())
+    assert len(found) == 9
+
+    child = spark.createDataFrame([(1, "a"), (1, None), (2, "b"), (None, "b"), (3, "b")], "x long, y string")
+    from claimscope.operators import orphan_report
+
+    parents = {"x": (spark.createDataFrame([(1,), (1,)], "k long"), "k"), "y": (spark.createDataFrame([("a",), ("b",)], "k string"), "k")}
+    report = orphan_report(child, parents)
+    assert sorted(tuple(r) for r in report.collect()) == [("x", 2, 2), ("y", 0, 0)]
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1

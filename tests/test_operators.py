@@ -278,3 +278,35 @@ def test_salted_lookup_spreads_one_hot_value_over_tasks(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "hashpartitioning(" in plan and "_salt" in plan  # shuffled on (value, salt)
     assert len(parts) > 1  # a plain shuffle join would put the one value in one partition
+
+
+def test_islands_are_maximal_and_cover_each_day_once(spark):
+    """Nested, touching, one-day gaps, inverted and NULL spans: islands against brute force."""
+    from claimscope.operators import islands
+
+    rnd = random.Random(21)
+    base = dt.date(2023, 1, 1)
+    spans = []
+    for _ in range(300):
+        s = base + dt.timedelta(days=rnd.randint(0, 120))
+        spans.append((rnd.randint(1, 6), rnd.choice(["a", "b", None]), rnd.choice([s, s, s, None]), s + dt.timedelta(days=rnd.randint(-2, 6))))
+    df = spark.createDataFrame(spans, "member_id long, cls string, fill_start date, fill_end date")
+    want = []
+    for key in {(m, c) for m, c, _, _ in spans}:
+        days = sorted({s + dt.timedelta(days=i) for m, c, s, e in spans if (m, c) == key and s and s <= e for i in range((e - s).days + 1)})
+        for d_ in days:
+            if want and want[-1][:2] == key and want[-1][3] + dt.timedelta(days=1) == d_:
+                want[-1] = (*want[-1][:3], d_)
+            else:
+                want.append((*key, d_, d_))
+    found = islands(df, ["member_id", "cls"])
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_exploded_days_are_made_once(spark):
+    """A year of overlapping fills makes a year of day rows, not one per fill and day."""
+    spans = [(1, d("2023-01-01") + dt.timedelta(days=i), d("2023-12-31")) for i in range(365)]
+    out = covered_days_exploded(spark.createDataFrame(spans, "member_id long, fill_start date, fill_end date"), ["member_id"])
+    assert rows(out) == [(1, 365)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "_day#" not in plan.split("Generate")[0]  # counted as made, never de-duplicated
