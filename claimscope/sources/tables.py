@@ -132,8 +132,16 @@ def read_rejected(spark: SparkSession, base: str, fmt: str) -> DataFrame:
 
 def load_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> ClaimsTables:
     """Load all ten tables from ``base`` in format ``fmt`` (parquet, csv, orc, json)."""
-    paths = {n: _table_path(spark, base, n, fmt) for n in TABLE_NAMES}
-    return ClaimsTables({n: read_table(spark, p, n, fmt) for n, p in paths.items()}, {n: read_raw(spark, p, n, fmt) for n, p in paths.items()})
+    frames, raw = {}, {}
+    for name in TABLE_NAMES:
+        path, table = _table_path(spark, base, name, fmt), TABLES[name]
+        if fmt in TEXT_FORMATS:
+            records = text_records(spark, path, table, fmt)
+            frames[name], raw[name] = loaded(records, table), as_delivered(records, table)
+        else:
+            raw[name] = spark.read.format(fmt).load(path)
+            frames[name] = conform(raw[name], table)
+    return ClaimsTables(frames, raw)
 
 
 def from_frames(frames: Mapping[str, DataFrame]) -> ClaimsTables:

@@ -28,11 +28,6 @@ def _strings(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
 
 
-def _header(lines: DataFrame) -> list[str]:
-    first = lines.limit(1).collect()
-    return next(csv.reader([first[0]["value"]])) if first else []
-
-
 def text_records(spark: SparkSession, path: str, table: Table, fmt: str) -> DataFrame:
     """One row per line: ``_record`` (the line), ``_given`` (array of the columns it
     gives), ``_text`` (the columns as text) and whether the line parsed (``_parsed``)."""
@@ -40,8 +35,9 @@ def text_records(spark: SparkSession, path: str, table: Table, fmt: str) -> Data
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     if fmt == "csv":
         # the header is one line of the first file; every file repeats it
-        names = _header(lines)
-        head = lines.limit(1).collect()[0]["value"] if names else ""
+        first = lines.take(1)
+        head = first[0]["value"] if first else ""
+        names = next(csv.reader([head])) if head else []
         ddl = ", ".join(f"`{n}` STRING" for n in [*names, CORRUPT])
         parsed = F.from_csv("value", ddl, options)
         given: Column = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
