@@ -48,7 +48,8 @@ def text_records(spark: SparkSession, path: str, table: Table, fmt: str) -> Data
         lines = lines.where(F.trim("value") != "")
     else:
         raise ValueError(f"not a text format: {fmt}")
-    rows = lines.select(F.col("value").alias("_record"), given.alias("_given"), parsed.alias("_text"))
+    # generated, not projected: a filter on the columns is then not pushed below, where it would parse a line once per column
+    rows = lines.select(F.col("value").alias("_record"), given.alias("_given"), F.explode(F.array(parsed)).alias("_text"))
     good = F.col("_text").isNotNull() & F.col(f"_text.{CORRUPT}").isNull()
     return rows.withColumn("_parsed", good)
 

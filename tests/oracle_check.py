@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
-BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
