@@ -222,6 +222,7 @@ PHARMACY_CLAIM_FACT = Table(
     ),
 )
 
+# Names, types, keys and defaults of the study's tables.
 TABLES: dict[str, Table] = {
     t.name: t
     for t in (
