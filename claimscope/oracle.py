@@ -293,6 +293,21 @@ ORACLE["risk_segments"] = _sql(
     "SELECT clinical_risk_flag, COUNT(DISTINCT member_id) AS members, COUNT(*) AS summary_rows FROM master GROUP BY clinical_risk_flag", MASTER
 )
 
+# ---- reports in order, delivery, layout by year -------------------------------
+
+
+def _ordered(key: str, order: str) -> str:
+    return f"SELECT *, ROW_NUMBER() OVER (ORDER BY {order}) AS row_number FROM ({ORACLE[key]})"
+
+
+ORACLE["ordered_cohort_dx"] = _ordered("cohort_dx", "member_id")
+ORACLE["ordered_pdc"] = _ordered("pdc_by_class", "member_id, therapeutic_class")
+ORACLE["ordered_utilization"] = _ordered("utilization_summary", "total_paid_amt DESC NULLS FIRST, member_id")
+ORACLE["ordered_master"] = _ordered("master_summary", "total_paid_amt DESC NULLS FIRST, pdc NULLS LAST, member_id, product_line")
+ORACLE["delivered_pdc"] = ORACLE["pdc_by_class"]
+ORACLE["yearly_pdc"] = ORACLE["pdc_member"]
+ORACLE["yearly_utilization"] = ORACLE["member_utilization"]
+
 # ---- declared constraints and ingest -------------------------------------------------
 
 

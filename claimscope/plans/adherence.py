@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimscope import params as P
-from claimscope.functions import adherence_status, clipped_end, date_lit, in_window, overlap_days, ratio_rounded
+from claimscope.functions import adherence_status, clipped_end, date_lit, overlap_days, ratio_rounded
 from claimscope.operators import covered_days as merge_covered_days
 from claimscope.operators import covered_days_exploded
 from claimscope.params import Condition, Window
@@ -22,9 +22,15 @@ from claimscope.plans.cohort import flagged_ndcs
 from claimscope.sources.tables import ClaimsTables
 
 
-def clip_fills(t: ClaimsTables, w: Window = P.DEFAULT_WINDOW, cond: Condition = P.DIABETES) -> DataFrame:
-    """Flagged in-window fills → member_id, therapeutic_class, fill_start, fill_end (cut at window end)."""
-    fills = t.pharmacy_claim_fact.where(in_window("fill_dt", w)).select("member_id", "ndc", "fill_dt", "days_supply")
+def clip_fills(t: ClaimsTables, w: Window = P.DEFAULT_WINDOW, cond: Condition = P.DIABETES, drop_invalid: bool = False) -> DataFrame:
+    """Flagged in-window fills → member_id, therapeutic_class, fill_start, fill_end (cut at window end).
+
+    A fill without days supply covers through the window's end, as in the study;
+    ``drop_invalid`` leaves out those and fills of no days, which the quality check reports.
+    """
+    fills = t.dated("pharmacy_claim_fact", "fill_dt", w).select("member_id", "ndc", "fill_dt", "days_supply")
+    if drop_invalid:
+        fills = fills.where("days_supply > 0")
     return fills.join(flagged_ndcs(t, cond, with_class=True), "ndc").select(
         "member_id",
         "therapeutic_class",
@@ -49,9 +55,9 @@ def eligible_days(eligibility: DataFrame, w: Window = P.DEFAULT_WINDOW) -> DataF
     )
 
 
-def pdc(t: ClaimsTables, w: Window = P.DEFAULT_WINDOW, cond: Condition = P.DIABETES, by_class: bool = True) -> DataFrame:
+def pdc(t: ClaimsTables, w: Window = P.DEFAULT_WINDOW, cond: Condition = P.DIABETES, by_class: bool = True, drop_invalid: bool = False) -> DataFrame:
     """PDC per member and therapeutic class (``by_class``) or per member (a day counts once)."""
-    covered = covered_days(clip_fills(t, w, cond), by_class=by_class)
+    covered = covered_days(clip_fills(t, w, cond, drop_invalid), by_class=by_class)
     joined = covered.join(eligible_days(t.eligibility_fact, w), "member_id")
     ratio = ratio_rounded("covered_days", "eligible_days", P.PDC_DIGITS)
     keys = ["member_id", "therapeutic_class"] if by_class else ["member_id"]

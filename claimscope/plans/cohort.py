@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimscope import params as P
-from claimscope.functions import age_years, in_window
+from claimscope.functions import age_years
 from claimscope.operators import first_by_priority, fits_broadcast, sized_broadcast
 from claimscope.params import Condition, Window as MWindow
 from claimscope.sources.tables import ClaimsTables
@@ -49,21 +49,20 @@ def dx_claims(t: ClaimsTables, cond: Condition = P.DIABETES, w: MWindow | None =
     In the window a claim comes once per flagged line; callers take minima or
     distinct days, so it is not made distinct here.
     """
-    headers = t.medical_claim_fact.select("claim_id", "member_id", "service_from_dt")
     lines = t.medical_claim_line_fact.select("claim_id", "claim_line_id")
     if w is not None:
-        in_time = lines.join(headers.where(in_window("service_from_dt", w)), "claim_id")
+        headers = t.dated("medical_claim_fact", "service_from_dt", w).select("claim_id", "member_id", "service_from_dt")
+        in_time = lines.join(headers, "claim_id")
         return in_time.join(flagged_lines(t, cond), "claim_line_id", "left_semi").select("member_id", "service_from_dt")
     # distinct on the join key: partial aggregate map-side, and the exchange it
     # creates is the one the next join needs
     flagged = lines.join(flagged_lines(t, cond).distinct(), "claim_line_id", "left_semi").select("claim_id").distinct()
+    headers = t.medical_claim_fact.select("claim_id", "member_id", "service_from_dt")
     return headers.join(flagged, "claim_id", "left_semi").select("member_id", "service_from_dt")
 
 
 def rx_fills(t: ClaimsTables, cond: Condition = P.DIABETES, w: MWindow | None = None) -> DataFrame:
-    fills = t.pharmacy_claim_fact
-    if w is not None:
-        fills = fills.where(in_window("fill_dt", w))
+    fills = t.pharmacy_claim_fact if w is None else t.dated("pharmacy_claim_fact", "fill_dt", w)
     return fills.select("member_id", "ndc", "fill_dt").join(flagged_ndcs(t, cond), "ndc", "left_semi").select("member_id", "fill_dt")
 
 

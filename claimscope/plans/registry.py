@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimscope.operators.materialize import scratch_path
-from claimscope.plans import adherence, cohort, constraints, quality, risk, summary, utilization
-from claimscope.sources.sinks import write_feed
+from claimscope.plans import adherence, cohort, constraints, quality, reports, risk, summary, utilization
+from claimscope.sources.layout import save_by_year, with_years
+from claimscope.sources.sinks import deliver_csv, read_delivered, write_feed
 from claimscope.sources.tables import ClaimsTables, conform, load_tables, table_counts
 from claimscope.sources.testdata import WINDOW, raw_claims
 
@@ -41,6 +42,29 @@ def _load_tables(spark: SparkSession, t: ClaimsTables) -> DataFrame:
     return table_counts(load_tables(spark, base, "csv"))
 
 
+def _yearly(spark: SparkSession, t: ClaimsTables) -> ClaimsTables:
+    """The tables with claims and fills laid out by year once."""
+
+    def save() -> str:
+        base = scratch_path(spark, "by-year")
+        save_by_year(t, base)
+        return base
+
+    return with_years(t, t.memo(("by-year",), save))
+
+
+def _delivered(spark: SparkSession, t: ClaimsTables) -> DataFrame:
+    """The PDC report delivered as CSV and read back against its manifest."""
+    df = reports.report("pdc_results", t, WINDOW)
+
+    def deliver() -> str:
+        path = scratch_path(spark, "delivery")
+        deliver_csv(df, path)
+        return path
+
+    return read_delivered(spark, t.memo(("delivery",), deliver), df.schema)
+
+
 JOBS: dict[str, Job] = {
     # cohorts
     "cohort_dx": lambda spark, t: cohort.dx_cohort_detail(t, WINDOW),
@@ -73,6 +97,14 @@ JOBS: dict[str, Job] = {
     # member summary
     "master_summary": lambda spark, t: summary.master_summary(t, WINDOW),
     "risk_segments": lambda spark, t: summary.risk_segments(summary.master_summary(t, WINDOW)),
+    # reports in their original order, delivery, layout by year
+    "ordered_cohort_dx": lambda spark, t: reports.numbered_report("cohort_dx", t, WINDOW),
+    "ordered_pdc": lambda spark, t: reports.numbered_report("pdc_results", t, WINDOW),
+    "ordered_utilization": lambda spark, t: reports.numbered_report("utilization_results", t, WINDOW),
+    "ordered_master": lambda spark, t: reports.numbered_report("master", t, WINDOW),
+    "delivered_pdc": _delivered,
+    "yearly_pdc": lambda spark, t: adherence.pdc(_yearly(spark, t), WINDOW, by_class=False),
+    "yearly_utilization": lambda spark, t: utilization.member_utilization(_yearly(spark, t), WINDOW),
     # declared constraints and ingest
     "dq_primary_key": lambda spark, t: constraints.primary_key_report(t),
     "dq_foreign_key": lambda spark, t: constraints.foreign_key_report(t),

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimscope import params as P
+from claimscope.operators.row_number import with_row_number
 from claimscope.params import Condition, Window
 from claimscope.plans import adherence, cohort, quality, risk, summary, utilization
-from claimscope.sources.sinks import write_csv, write_parquet
+from claimscope.sources.sinks import deliver_csv, write_parquet
 from claimscope.sources.tables import ClaimsTables
 
 Builder = Callable[[ClaimsTables, Window, Condition], DataFrame]
@@ -61,6 +62,14 @@ def report(name: str, t: ClaimsTables, w: Window = P.DEFAULT_WINDOW, cond: Condi
     return df.orderBy(*[_order(o) for o in order]) if order else df
 
 
+def numbered_report(name: str, t: ClaimsTables, w: Window = P.DEFAULT_WINDOW, cond: Condition = P.DIABETES) -> DataFrame:
+    """One report with ``row_number``, its place in the original order; ties by the other columns, as they stand."""
+    build, order = REPORTS[name]
+    df = build(t, w, cond)
+    named = {c for c, _ in order}
+    return with_row_number(df, [_order(o) for o in [*order, *(_asc(c) for c in df.columns if c not in named)]])
+
+
 def run_reports(
     t: ClaimsTables,
     out_dir: str,
@@ -69,13 +78,13 @@ def run_reports(
     fmt: str = "csv",
     names: Iterable[str] | None = None,
 ) -> list[str]:
-    """Write the reports under ``out_dir/<name>``: header CSV, or Parquet partitioned by measurement_year."""
+    """Write the reports under ``out_dir/<name>``: header CSV with a manifest, or Parquet partitioned by measurement_year."""
     written = []
     for name in names or REPORTS:
         df = report(name, t, w, cond)
         path = f"{out_dir.rstrip('/')}/{name}"
         if fmt == "csv":
-            write_csv(df, path)
+            deliver_csv(df, path)
         else:
             write_parquet(df, path)
         written.append(path)

@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimscope import params as P
-from claimscope.functions import avg_rounded, in_window
+from claimscope.functions import avg_rounded
 from claimscope.params import Condition, Window
 from claimscope.plans.cohort import checked_broadcast, condition_members
 from claimscope.sources.tables import ClaimsTables
 
 
 def _per_member(t: ClaimsTables, w: Window) -> DataFrame:
-    claims = t.medical_claim_fact.where(in_window("service_from_dt", w)).select("member_id", "claim_type", "paid_amt")
+    claims = t.dated("medical_claim_fact", "service_from_dt", w).select("member_id", "claim_type", "paid_amt")
     return claims.groupBy("member_id").agg(
         F.count_if(F.col("claim_type") == P.CLAIM_TYPE_ER).alias("er_visits"),
         F.count_if(F.col("claim_type") == P.CLAIM_TYPE_IP).alias("ip_admits"),

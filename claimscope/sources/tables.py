@@ -17,21 +17,31 @@ from collections.abc import Callable, Iterator, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimscope.functions.dates import in_window
+from claimscope.params import Window
 from claimscope.schema import TABLE_NAMES, TABLES, Table
 from claimscope.sources.defaults import apply_defaults
 from claimscope.sources.text_records import TEXT_FORMATS, as_delivered, loaded, rejected, text_records
 
 
+#: Partition column of tables that are laid out by year (:mod:`claimscope.sources.layout`).
+YEAR_COLUMN = "data_year"
+
+
 class ClaimsTables(Mapping):
-    """The ten claims tables by name, also reachable as attributes."""
+    """The ten claims tables by name, also reachable as attributes.
+
+    ``yearly``: those that are laid out by year, with ``YEAR_COLUMN`` as a further column.
+    """
 
-    def __init__(self, frames: Mapping[str, DataFrame], raw: Mapping[str, DataFrame] | None = None):
+    def __init__(self, frames: Mapping[str, DataFrame], raw: Mapping[str, DataFrame] | None = None, yearly: Mapping[str, DataFrame] | None = None):
         missing = [n for n in TABLE_NAMES if n not in frames]
         if missing:
             raise KeyError(f"missing tables: {missing}")
         self._frames = {n: frames[n] for n in TABLE_NAMES}
         # the tables as delivered, before the cast to the declared schema (conformance checks)
         self.raw = dict(raw) if raw is not None else dict(self._frames)
+        self._yearly = dict(yearly or {})
         self._shared: dict[tuple, DataFrame] = {}
         self._memo: dict[tuple, object] = {}
 
@@ -69,10 +79,24 @@ class ClaimsTables(Mapping):
     def __len__(self) -> int:
         return len(self._frames)
 
+    def dated(self, name: str, day: str, w: Window) -> DataFrame:
+        """Rows of ``name`` whose ``day`` lies in the window; of a table laid out by year, only the window's years are listed."""
+        frame = self._frames[name]
+        if name in self._yearly:
+            year = F.col(YEAR_COLUMN).between(w.start.year, w.end.year)
+            frame = self._yearly[name].where(year).drop(YEAR_COLUMN)
+        return frame.where(in_window(day, w))
+
     def replace(self, **frames: DataFrame) -> "ClaimsTables":
         merged = dict(self._frames)
         merged.update(frames)
-        return ClaimsTables(merged, {**self.raw, **frames})
+        yearly = {name: df for name, df in self._yearly.items() if name not in frames}
+        return ClaimsTables(merged, {**self.raw, **frames}, yearly)
+
+    def by_year(self, **yearly: DataFrame) -> "ClaimsTables":
+        """These tables, some of them read from a layout by year (declared columns and ``YEAR_COLUMN``)."""
+        plain = {name: df.drop(YEAR_COLUMN) for name, df in yearly.items()}
+        return ClaimsTables({**self._frames, **plain}, self.raw, {**self._yearly, **yearly})
 
 
 def conform(df: DataFrame, table: Table | str) -> DataFrame:
