@@ -62,6 +62,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of ``rows`` rows at most for jobs run meanwhile, where a row is wide; then the session's own again."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def rows_of(batches: Iterator[pa.RecordBatch], limit: int, text: str = "text", most: int = 1 << 16) -> Iterator[pa.Table]:
     """Regroup Arrow batches so that a table holds about ``limit`` bytes of
     text and ``most`` rows at most, or one row; a text is never cut."""
